@@ -26,7 +26,7 @@ class Bridge:
         self.folder = folder.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(schemas.GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- payments and rentals
 

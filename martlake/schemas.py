@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 TYPES = {
     "INT": T.IntegerType(),
     "SMALLINT": T.ShortType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "STRING": T.StringType(),
     "BOOLEAN": T.BooleanType(),
     "FLOAT": T.FloatType(),
@@ -177,6 +180,31 @@ def column_defaults(table: str) -> dict:
     return found
 
 
+# The given order tables; declared, so that no job is spent on looking at file footers.
+GIVEN = {
+    "region": _table("r_regionkey INT, r_name STRING"),
+    "nation": _table("n_nationkey INT, n_name STRING, n_regionkey INT"),
+    "customer": _table("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"),
+    "supplier": _table("s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"),
+    "part": _table(
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
+    ),
+    "orders": _table(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": _table(
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": _table(
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+    "documents": _table("doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"),
+}
+
+
 # Weather: one raw day, only with the fields the clean table is made from. Every leaf is text.
 HOURLY = _table("time STRING, humidity STRING, pressure STRING, precipMM STRING")
 RAW_DAY = T.StructType(
