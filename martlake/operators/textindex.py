@@ -12,12 +12,14 @@ def token_index(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(token, key, positions): where each word stands, counting from 1, stop words left out.
 
     The columns are read as one text in the order given; a missing one counts as empty. A group
-    is one word of one row, so no list grows with the table.
+    is one word of one row, so no list grows with the table. Most groups hold one or two places,
+    so words are shuffled as they are; merging them before would sort much and save little.
     """
     text = F.concat_ws(" ", *columns)
     placed = df.select(key, F.posexplode(words(text)).alias("_at", "token"))
     return (
         placed.filter(~F.col("token").isin(STOP_WORDS))
+        .repartition("token", key)
         .groupBy("token", key)
         .agg(F.sort_array(F.collect_list(F.col("_at") + 1)).alias("positions"))
     )

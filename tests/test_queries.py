@@ -1,0 +1,57 @@
+"""Every registered query against its SQL on the same Parquet files.
+
+ORACLE_SF picks the scale (0.001 by default).
+"""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+FOLDER = f"/root/testdata/sf{os.environ.get('ORACLE_SF', '0.001')}"
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
+    return value
+
+
+def multiset(rows, columns):
+    order = sorted(columns)
+    return sorted((tuple(plain(row[columns.index(c)]) for c in order) for row in rows), key=repr)
+
+
+def test_every_query_has_sql():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_agrees_with_sql(spark, duck, name):
+    df = entry.queries()[name](spark, FOLDER)
+    found = multiset([tuple(r) for r in df.collect()], df.columns)
+    result = duck.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert found == multiset(result.fetchall(), columns)
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["week", "rating", "sales"]
+    assert df.count() > 0

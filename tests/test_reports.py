@@ -1,0 +1,209 @@
+import datetime
+from decimal import Decimal as D
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from martlake.functions.text import group_concat
+from martlake.operators.sales import grouping_sets
+from martlake.plans import reports, star
+
+
+def ts(text):
+    return datetime.datetime.fromisoformat(text)
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    """Four films, one without a rating; payments around New Year."""
+    film = spark.createDataFrame(
+        [(1, "Alpha", "G"), (2, "Beta", "NC-17"), (3, "Gamma", None), (4, "Delta", "PG-13")],
+        "film_id INT, title STRING, rating STRING",
+    )
+    inventory = spark.createDataFrame([(10, 1, 1), (20, 2, 1), (30, 3, 2), (40, 4, 2)], "inventory_id INT, film_id INT, store_id INT")
+    rental = spark.createDataFrame([(100, 10), (200, 20), (300, 30), (400, 40), (500, 99)], "rental_id INT, inventory_id INT")
+    payment = spark.createDataFrame(
+        [
+            (7, 1, 100, D("1.00"), ts("2020-12-31T10:00:00")),  # Thursday of week 53
+            (7, 1, 200, D("2.00"), ts("2021-01-03T23:59:59")),  # Sunday of week 53
+            (7, 1, 300, D("4.00"), ts("2021-01-04T00:00:00")),  # Monday of week 1
+            (8, 1, 400, D("8.00"), ts("2020-01-01T00:00:00")),  # Wednesday of week 1, a year before
+            (8, 1, 100, D("16.00"), ts("2020-12-31T11:00:00")),
+            (8, 1, 500, D("32.00"), ts("2020-12-31T11:00:00")),  # its item is unknown: drops out
+            (8, 1, 999, D("64.00"), ts("2020-12-31T11:00:00")),  # its rental is unknown: drops out
+        ],
+        "customer_id INT, staff_id INT, rental_id INT, amount DECIMAL(5,2), payment_date TIMESTAMP",
+    )
+    return payment, rental, inventory, film
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_daily_sales(shop):
+    shown = rows(reports.order_report(reports.daily_sales(*shop), ["dow"]))
+    assert shown == [(1, D("4.00")), (3, D("8.00")), (4, D("17.00")), (7, D("2.00"))]
+
+
+def test_weekly_cube_order_and_totals(shop):
+    shown = rows(reports.order_report(reports.weekly_sales_cube(*shop), ["week", "rating", "sales"]))
+    assert shown == [
+        (1, "PG-13", D("8.00")),
+        (1, None, D("4.00")),  # film without a rating
+        (1, None, D("12.00")),  # the week's total
+        (53, "G", D("17.00")),
+        (53, "NC-17", D("2.00")),
+        (53, None, D("19.00")),
+        (None, "G", D("17.00")),
+        (None, "PG-13", D("8.00")),
+        (None, "NC-17", D("2.00")),
+        (None, None, D("4.00")),
+        (None, None, D("31.00")),
+    ]
+
+
+def test_gid_tells_null_rating_from_subtotal(shop):
+    cube = reports.weekly_sales_cube(*shop, with_gid=True)
+    found = {(r.week, r.rating, r.gid): r.sales for r in cube.collect()}
+    assert found[(1, None, 0)] == D("4.00")
+    assert found[(1, None, 1)] == D("12.00")
+    assert found[(None, None, 2)] == D("4.00")
+    assert found[(None, None, 3)] == D("31.00")
+
+
+def test_rollup_is_cube_without_rating_subtotals(shop):
+    cube = reports.weekly_sales_cube(*shop, with_gid=True).filter("gid <> 2")
+    rollup = reports.weekly_sales_rollup(*shop, with_gid=True)
+    assert sorted(rows(cube), key=repr) == sorted(rows(rollup), key=repr)
+
+
+def test_weeks_of_two_years_apart_on_request(shop):
+    cube = reports.weekly_sales_cube(*shop, with_year=True, with_gid=True).filter("gid = 1")
+    assert sorted(rows(cube.select("year", "week", "sales"))) == [
+        (2020, 1, D("8.00")), (2020, 53, D("19.00")), (2021, 1, D("4.00")),
+    ]
+
+
+def test_star_agrees_with_rental_tables(spark, shop):
+    payment, rental, inventory, film = shop
+    facts = star.build_sales_facts(payment, rental, inventory)
+    dates = star.build_date_dim(spark)
+    films = star.build_film_dim(film.selectExpr("*", "2000 AS release_year"))
+    a = reports.star_weekly_cube(facts, dates, films)
+    b = reports.weekly_sales_cube(*shop)
+    assert sorted(rows(a), key=repr) == sorted(rows(b), key=repr)
+
+
+def test_star_daily_average(spark, shop):
+    facts = star.build_sales_facts(*shop[:3])
+    shown = rows(reports.order_report(reports.star_daily_avg(facts, star.build_date_dim(spark)), ["day_of_week"]))
+    assert shown == [(1, 4.0), (3, 8.0), (4, 8.5), (7, 2.0), (None, 31 / 5)]
+
+
+def test_fact_outside_the_dates_drops_out(spark, shop):
+    facts = star.build_sales_facts(*shop[:3])
+    short = star.build_date_dim(spark, "2021-01-01", 10)
+    assert sorted(rows(reports.star_daily_avg(facts, short)), key=repr) == [(1, 4.0), (7, 2.0), (None, 3.0)]
+
+
+def test_average_of_nothing_is_null(spark, shop):
+    facts = star.build_sales_facts(*shop[:3]).withColumn("amount", F.lit(None).cast("decimal(5,2)"))
+    assert {r.sales for r in reports.star_daily_avg(facts, star.build_date_dim(spark)).collect()} == {None}
+
+
+def test_equal_payments_collapse_and_conflicts_are_found(spark, shop):
+    payment, rental, inventory, _ = shop
+    doubled = payment.unionByName(payment)
+    facts = star.build_sales_facts(doubled, rental, inventory)
+    assert facts.count() == 5
+    assert star.fact_key_conflicts(facts).count() == 0
+    dearer = payment.withColumn("amount", payment["amount"] + 1)
+    mixed = star.build_sales_facts(payment.unionByName(dearer), rental, inventory)
+    assert star.fact_key_conflicts(mixed).count() == 5
+    with pytest.raises(Exception, match="more than one row"):
+        star.build_sales_facts(payment.unionByName(dearer), rental, inventory, strict=True).collect()
+
+
+def test_date_dim(spark):
+    dim = star.build_date_dim(spark)
+    assert dim.count() == 5001
+    picked = {r.date_id: tuple(r)[2:] for r in dim.filter("date_id IN (20100101, 20121231, 20230910)").collect()}
+    assert picked == {
+        20100101: (2009, 1, 1, 53, 5),
+        20121231: (2013, 12, 31, 1, 1),
+        20230910: (2023, 9, 10, 36, 7),
+    }
+
+
+# --- views
+
+
+@pytest.fixture(scope="module")
+def cast(spark):
+    return {
+        "actor": spark.createDataFrame(
+            [(1, "ANNA", "x"), (2, "bo", "LEE"), (3, "Cy", "NONE")], "actor_id INT, first_name STRING, last_name STRING"
+        ),
+        "film": spark.createDataFrame(
+            [(1, "Zulu", None, D("4.99"), 90, "G"), (2, "Alpha", "d", D("0.99"), 80, None), (3, "Solo", "d", D("0.99"), 80, "R")],
+            "film_id INT, title STRING, description STRING, rental_rate DECIMAL(4,2), length INT, rating STRING",
+        ),
+        "film_actor": spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "film_id INT, actor_id INT"),
+        # film 1 is in two categories; categories 7 and 8 share a name, film 2 is in both
+        "film_category": spark.createDataFrame([(1, 5), (1, 6), (2, 7), (2, 8), (3, 5)], "film_id INT, category_id INT"),
+        "category": spark.createDataFrame(
+            [(5, "Drama"), (6, "Comedy"), (7, "Same"), (8, "Same"), (9, "Empty")], "category_id INT, name STRING"
+        ),
+    }
+
+
+def test_actor_info(cast):
+    info = reports.actor_info(cast["actor"], cast["film_actor"], cast["film_category"], cast["category"], cast["film"])
+    found = {r.actor_id: r.film_info for r in info.collect()}
+    assert found == {
+        1: "Drama: Zulu, Comedy: Zulu, Same: Alpha",  # equal lines are listed once
+        2: "Drama: Zulu, Comedy: Zulu",
+        3: None,
+    }
+
+
+def test_film_list(cast):
+    listed = reports.film_list(cast["category"], cast["film_category"], cast["film"], cast["film_actor"], cast["actor"])
+    found = {(r.fid, r.category): r.actors for r in listed.collect()}
+    assert found == {
+        (1, "Drama"): "ANNA x, bo LEE",
+        (1, "Comedy"): "ANNA x, bo LEE",
+        (2, "Same"): "ANNA x, ANNA x",  # once for each category of that name
+    }
+    assert listed.columns == ["fid", "title", "description", "category", "price", "length", "rating", "actors"]
+
+
+def test_joined_names(cast):
+    listed = reports.film_list(
+        cast["category"], cast["film_category"], cast["film"], cast["film_actor"], cast["actor"], names="joined"
+    )
+    assert {r.actors for r in listed.filter("fid = 1").collect()} == {"AnnaX, BoLee"}
+
+
+@pytest.mark.parametrize("piece", [1, 3, 4096])
+def test_group_concat_in_pieces(spark, piece):
+    data = [("a", i, None if i % 4 == 0 else f"v{i}") for i in range(20)] + [("b", 1, None)]
+    df = spark.createDataFrame(data, "k STRING, id INT, v STRING")
+    found = {r.k: r.out for r in group_concat(df, ["k"], "v", "id", "out", piece=piece).collect()}
+    assert found == {"a": ", ".join(f"v{i}" for i in range(20) if i % 4), "b": None}
+
+
+def test_hot_group_is_spread(spark):
+    """One key with a third of all rows is joined up in pieces, and comes out whole."""
+    df = spark.range(30000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id", "CAST(id AS STRING) AS v")
+    out = group_concat(df, ["k"], "v", "id", "out")
+    hot = out.filter("k = 0").first().out
+    assert hot == ", ".join(str(i) for i in range(0, 30000, 3))
+    assert out.count() == 20001
+
+
+def test_grouping_sets_of_nothing(spark):
+    empty = spark.createDataFrame([], "week INT, rating STRING, sales DECIMAL(10,2)")
+    assert rows(grouping_sets(empty, ["week", "rating"], "rollup")) == []
