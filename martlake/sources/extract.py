@@ -10,12 +10,14 @@ CSV = {
     "header": "false",
     "quote": '"',
     "escape": '"',
-    "nullValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 ROWS_PER_FILE = 5_000_000
 
+# what the parser puts for an empty field before Spark turns it into NULL; no text can hold it
+NO_VALUE = "\u0000"
+
 
 def export_extract(df: DataFrame, path: str, order: list[str] | None = None) -> str:
     """Replace the extract at ``path``; with ``order``, files hold consecutive ranges of the sort.
@@ -26,7 +28,7 @@ def export_extract(df: DataFrame, path: str, order: list[str] | None = None) ->
         df = df.orderBy(*order, *[c for c in df.columns if c not in order])
     (
         df.write.mode("overwrite")
-        .options(**CSV, emptyValue='""', maxRecordsPerFile=str(ROWS_PER_FILE))
+        .options(**CSV, nullValue="", emptyValue='""', maxRecordsPerFile=str(ROWS_PER_FILE))
         .csv(path)
     )
     return path
@@ -41,6 +43,6 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     has_text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
     return (
         spark.read.schema(schema)
-        .options(**CSV, emptyValue="", mode="FAILFAST", multiLine=str(has_text).lower())
+        .options(**CSV, nullValue=NO_VALUE, emptyValue="", mode="FAILFAST", multiLine=str(has_text).lower())
         .csv(path)
     )
