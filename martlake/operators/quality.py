@@ -1,4 +1,7 @@
-"""Table-wide checks in place of database constraints. Each returns what violates it."""
+"""Table-wide checks in place of database constraints. Each returns what violates it.
+
+Lookups go against distinct keys, so a hot key on the looked-up side is combined before its shuffle.
+"""
 
 from __future__ import annotations
 
@@ -23,13 +26,14 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows that point at no parent. NULL points nowhere and passes."""
-    known = parent.select(F.col(parent_key).alias(column))
+    known = parent.select(F.col(parent_key).alias(column)).distinct()
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti").select(*child.columns)
 
 
 def check_restrict(removed: DataFrame, key: str, child: DataFrame, column: str) -> DataFrame:
     """Parent rows to be removed that some child still points at."""
-    return removed.join(child.select(F.col(column).alias(key)), key, "left_semi").select(*removed.columns)
+    used = child.select(F.col(column).alias(key)).distinct()
+    return removed.join(used, key, "left_semi").select(*removed.columns)
 
 
 def cascade(child: DataFrame, column: str, key_map: DataFrame) -> DataFrame:

@@ -17,9 +17,14 @@ def open_rentals(rental: DataFrame) -> DataFrame:
     return rental.filter(F.col("return_date").isNull())
 
 
+def items_out(rental: DataFrame) -> DataFrame:
+    """Items on rent, each once, however many rentals of it are open."""
+    return open_rentals(rental).select("inventory_id").distinct()
+
+
 def stock(inventory: DataFrame, rental: DataFrame) -> DataFrame:
     """Every item with a flag: in stock unless some rental of it is still open."""
-    out = open_rentals(rental).select("inventory_id").distinct().withColumn("_out", F.lit(True))
+    out = items_out(rental).withColumn("_out", F.lit(True))
     return inventory.join(out, "inventory_id", "left").select(
         "inventory_id", "film_id", "store_id", F.col("_out").isNull().alias("in_stock")
     )
@@ -27,7 +32,7 @@ def stock(inventory: DataFrame, rental: DataFrame) -> DataFrame:
 
 def items_in_stock(items: DataFrame, rental: DataFrame) -> DataFrame:
     """The flag for any set of ids; an id never rented, or unknown, is in stock."""
-    out = open_rentals(rental).select("inventory_id").distinct().withColumn("_out", F.lit(True))
+    out = items_out(rental).withColumn("_out", F.lit(True))
     return items.join(out, "inventory_id", "left").select(
         *items.columns, F.col("_out").isNull().alias("in_stock")
     )
@@ -35,12 +40,12 @@ def items_in_stock(items: DataFrame, rental: DataFrame) -> DataFrame:
 
 def film_in_stock(inventory: DataFrame, rental: DataFrame, film_id=None, store_id=None) -> DataFrame:
     """Items on the shelf, for one film and store or for all."""
-    return _shelf(inventory, film_id, store_id).join(open_rentals(rental), "inventory_id", "left_anti")
+    return _shelf(inventory, film_id, store_id).join(items_out(rental), "inventory_id", "left_anti")
 
 
 def film_not_in_stock(inventory: DataFrame, rental: DataFrame, film_id=None, store_id=None) -> DataFrame:
     """Items out on rent, for one film and store or for all."""
-    return _shelf(inventory, film_id, store_id).join(open_rentals(rental), "inventory_id", "left_semi")
+    return _shelf(inventory, film_id, store_id).join(items_out(rental), "inventory_id", "left_semi")
 
 
 def _shelf(inventory: DataFrame, film_id, store_id) -> DataFrame:

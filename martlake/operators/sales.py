@@ -1,8 +1,9 @@
 """Sales totals over the rental tables.
 
-Payments are summed per inventory item right after the join that names the item, before they
-meet any other table: from there on a hot item, film or store is a handful of rows, and the
-grouping sets expand the report grain instead of the payments.
+What a report wants to know of an item is first looked up on the inventory, which is smaller than
+the rentals, so that payments are shuffled by rental and by item only, and by item only where the
+items are too many to be broadcast. Totals are summed to the grain of the report before any
+grouping sets or many-to-many table come in.
 """
 
 from __future__ import annotations
@@ -13,34 +14,31 @@ from pyspark.sql import functions as F
 TOTAL = "decimal(38,2)"
 
 
-def item_sales(payment: DataFrame, rental: DataFrame, **parts: Column) -> DataFrame:
-    """Payment total per inventory item and date part."""
+def item_payments(payment: DataFrame, rental: DataFrame, items: DataFrame, **parts: Column) -> DataFrame:
+    """Each payment's amount and date parts next to the columns of its item."""
     paid = payment.select("rental_id", "amount", *[c.alias(n) for n, c in parts.items()])
     return (
         paid.join(rental.select("rental_id", "inventory_id"), "rental_id")
-        .groupBy("inventory_id", *parts)
-        .agg(F.sum("amount").alias("sales"))
+        .select("inventory_id", "amount", *parts)
+        .join(items, "inventory_id")
     )
 
 
-def film_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame, **parts: Column) -> DataFrame:
-    """Payment total per film and date part."""
-    return (
-        item_sales(payment, rental, **parts)
-        .join(inventory.select("inventory_id", "film_id"), "inventory_id")
-        .groupBy("film_id", *parts)
-        .agg(F.sum("sales").alias("sales"))
-    )
+def film_items(inventory: DataFrame, film: DataFrame, *columns: str) -> DataFrame:
+    """Items with columns of their film; items of an unknown film drop out."""
+    return inventory.select("inventory_id", "film_id").join(film.select("film_id", *columns), "film_id")
+
+
+def film_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame, film: DataFrame) -> DataFrame:
+    """Payment total per film."""
+    sold = item_payments(payment, rental, film_items(inventory, film))
+    return sold.groupBy("film_id").agg(F.sum("amount").alias("sales"))
 
 
 def store_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame) -> DataFrame:
     """Payment total per store."""
-    return (
-        item_sales(payment, rental)
-        .join(inventory.select("inventory_id", "store_id"), "inventory_id")
-        .groupBy("store_id")
-        .agg(F.sum("sales").alias("sales"))
-    )
+    sold = item_payments(payment, rental, inventory.select("inventory_id", "store_id"))
+    return sold.groupBy("store_id").agg(F.sum("amount").alias("sales"))
 
 
 def grouping_sets(grain: DataFrame, keys: list[str], kind: str, with_gid: bool = False) -> DataFrame:

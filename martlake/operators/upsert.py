@@ -1,7 +1,9 @@
 """Table merges as joins: update on conflict, insert if absent, delete then insert.
 
-Each takes the whole target and a stage and returns the new target. All are anti-joins, so
-a small stage is broadcast by its size and a large one is shuffled with hot keys split.
+Each takes the whole target and a stage and returns the new target. All are anti-joins: a small
+stage is broadcast by its size, a large one is shuffled. Spark can split a hot key on the
+left of such a join but not on the right, so the right side is cut to distinct keys first, which
+combines before the shuffle and leaves the keys where the join wants them.
 """
 
 from __future__ import annotations
@@ -16,23 +18,24 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def require_filled(df: DataFrame, keys: list[str], what: str = "stage") -> DataFrame:
+    """The same rows; raises when the plan runs if a key column is NULL."""
+    key, kind = keys[0], df.schema[keys[0]].dataType
+    checked = F.when(_any_null(keys), F.raise_error(F.lit(f"{what}: NULL in key {keys}"))).otherwise(F.col(key))
+    return df.withColumn(key, checked.cast(kind))
+
+
 def require_unique(df: DataFrame, keys: list[str], what: str = "stage") -> DataFrame:
     """The same rows; raises when the plan runs if a key is NULL or occurs twice.
 
     One aggregation, combined before its shuffle, so a repeated key travels as one row per task.
     """
     others = [c for c in df.columns if c not in keys]
-    held = [F.first(F.struct(*others)).alias("_row")] if others else []
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *held)
-    key = keys[0]
-    checked = (
-        F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{what}: more than one row for a key of {keys}")))
-        .when(_any_null(keys), F.raise_error(F.lit(f"{what}: NULL in key {keys}")))
-        .otherwise(F.col(key))
-        .cast(df.schema[key].dataType)
-    )
-    picked = {c: F.col(f"_row.`{c}`") for c in others} | {k: F.col(k) for k in keys} | {key: checked}
-    return grouped.select(*[picked[c].alias(c) for c in df.columns])
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
+    key, kind = keys[0], df.schema[keys[0]].dataType
+    repeated = F.raise_error(F.lit(f"{what}: more than one row for a key of {keys}"))
+    checked = F.when(F.col("_n") > 1, repeated).otherwise(F.col(key)).cast(kind)
+    return require_filled(grouped.withColumn(key, checked), keys, what).select(*df.columns)
 
 
 def upsert_update(target: DataFrame, stage: DataFrame, keys: list[str], stamp: str | None = None) -> DataFrame:
@@ -50,20 +53,25 @@ def upsert_update(target: DataFrame, stage: DataFrame, keys: list[str], stamp: s
 
 
 def insert_absent(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
-    """Stage rows whose key the target lacks are added; of several for one key, the least row."""
+    """Stage rows whose key the target lacks are added; of several for one key, the least row.
+
+    A NULL in a stage key stops the job, as it does in ``upsert_update``.
+    """
     others = [c for c in target.columns if c not in keys]
-    fresh = stage.select(*target.columns).filter(~_any_null(keys)).join(target.select(*keys), keys, "left_anti")
+    fresh = require_filled(stage.select(*target.columns), keys)
     if others:
         fresh = fresh.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
     else:
         fresh = fresh.distinct()
-    return target.unionByName(fresh.select(*target.columns))
+    added = fresh.join(target.select(*keys).distinct(), keys, "left_anti")
+    return target.unionByName(added.select(*target.columns))
 
 
 def delete_insert(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows matched by the stage go, all stage rows come in. A NULL key matches nothing."""
     stage = stage.select(*target.columns)
-    return target.join(stage.select(*keys), keys, "left_anti").select(*target.columns).unionByName(stage)
+    staged = stage.select(*keys).distinct()
+    return target.join(staged, keys, "left_anti").select(*target.columns).unionByName(stage)
 
 
 def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

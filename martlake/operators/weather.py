@@ -63,7 +63,7 @@ def latest_per_day(days: DataFrame, newest_first: list) -> DataFrame:
 
 def missing_days(days: DataFrame, until) -> DataFrame:
     """Days before ``until`` that a location lacks, from its first day on."""
-    have = days.select("location", F.col("date").cast("date").alias("date"))
+    have = days.select("location", F.col("date").cast("date").alias("date")).distinct()
     last = F.date_sub(F.lit(until).cast("date"), 1)
     spans = have.groupBy("location").agg(F.min("date").alias("_first")).filter(F.col("_first") <= last)
     wanted = spans.select("location", F.explode(F.sequence("_first", last)).alias("date"))

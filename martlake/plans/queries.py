@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake import schemas
-from martlake.functions.calendar import date_id
+from martlake.functions.calendar import date_id, month_bounds
 from martlake.operators import quality, rentals, textindex, upsert, weather
 from martlake.operators.keys import assign_keys
 from martlake.plans import jobs, reports, snapshots, star
@@ -243,6 +243,23 @@ def date_dimension(b: Bridge) -> DataFrame:
     return _dates(b).join(paid, "date_id", "left").fillna(0, ["payments"])
 
 
+@query(
+    """SELECT CAST(o_orderdate AS DATE) AS date, last_day(o_orderdate) AS month_end, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
+              CAST(date_trunc('month', o_orderdate - INTERVAL 3 MONTH) AS DATE) AS back_start,
+              CAST(date_trunc('month', o_orderdate - INTERVAL 3 MONTH) + INTERVAL 1 MONTH AS DATE) AS back_after, count(*) AS orders
+       FROM orders GROUP BY ALL"""
+)
+def order_months(b: Bridge) -> DataFrame:
+    """Month bounds around every order date, and of the month three months before."""
+    day = F.to_date("o_orderdate")
+    first, after = month_bounds(F.col("date"), 3)
+    return (
+        b.source("orders").groupBy(day.alias("date")).agg(F.count("*").alias("orders"))
+        .select("date", F.last_day("date").alias("month_end"), month_bounds(F.col("date"), 0)[0].alias("month_start"),
+                first.alias("back_start"), after.alias("back_after"), "orders")
+    )
+
+
 @query("SELECT * FROM facts", "facts")
 def sales_facts_distinct(b: Bridge) -> DataFrame:
     """Every payment twice: equal ones must collapse."""
@@ -688,8 +705,8 @@ def streamed_days(b: Bridge) -> DataFrame:
     for delivery in (stale, days.filter(~early)):
         landing.write_landing(delivery, f"{base}/raw")
         intake.stream_landing(b.spark, f"{base}/raw", f"{base}/log", f"{base}/checkpoint")
-    intake.compact_days(b.spark, f"{base}/log", f"{base}/clean", "run-1")
-    return landing.read_clean(b.spark, publish.published_path(b.spark, f"{base}/clean", "cleanweather"))
+        done = intake.compact_days(b.spark, f"{base}/log", f"{base}/clean")
+    return landing.read_clean(b.spark, done)
 
 
 # --- data quality -------------------------------------------------------------------------

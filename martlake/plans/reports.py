@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.calendar import iso_week, iso_weekday
 from martlake.functions.text import full_name, group_concat, joined_name
-from martlake.operators.sales import TOTAL, film_sales, grouping_sets, store_sales
+from martlake.operators.sales import TOTAL, film_items, film_sales, grouping_sets, item_payments, store_sales
 from martlake.schemas import RATINGS
 
 
@@ -31,10 +31,9 @@ def order_report(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def daily_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame, film: DataFrame) -> DataFrame:
     """Sales per weekday."""
-    sold = film_sales(payment, rental, inventory, dow=iso_weekday(F.col("payment_date")))
-    return (
-        sold.join(film.select("film_id"), "film_id").groupBy("dow").agg(F.sum("sales").cast(TOTAL).alias("sales"))
-    )
+    items = film_items(inventory, film)
+    sold = item_payments(payment, rental, items, dow=iso_weekday(F.col("payment_date")))
+    return sold.groupBy("dow").agg(F.sum("amount").cast(TOTAL).alias("sales"))
 
 
 def _weekly_grain(payment, rental, inventory, film, with_year: bool) -> tuple[DataFrame, list[str]]:
@@ -43,8 +42,8 @@ def _weekly_grain(payment, rental, inventory, film, with_year: bool) -> tuple[Da
     if with_year:
         parts = {"year": F.extract(F.lit("YEAROFWEEK"), moment), **parts}
     keys = [*parts, "rating"]
-    sold = film_sales(payment, rental, inventory, **parts)
-    return sold.join(film.select("film_id", "rating"), "film_id").groupBy(*keys).agg(F.sum("sales").alias("sales")), keys
+    sold = item_payments(payment, rental, film_items(inventory, film, "rating"), **parts)
+    return sold.groupBy(*keys).agg(F.sum("amount").alias("sales")), keys
 
 
 def weekly_sales_cube(payment, rental, inventory, film, with_year=False, with_gid=False) -> DataFrame:
@@ -64,11 +63,11 @@ def weekly_sales_rollup(payment, rental, inventory, film, with_year=False, with_
 
 def star_daily_avg(sales_facts: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Average sale per weekday and over all; facts with no date row drop out."""
-    per_day = sales_facts.groupBy("date_id").agg(F.sum("amount").alias("_sum"), F.count("amount").alias("_n"))
     per_weekday = (
-        per_day.join(date_dim.select("date_id", "day_of_week"), "date_id")
+        sales_facts.select("date_id", "amount")
+        .join(date_dim.select("date_id", "day_of_week"), "date_id")
         .groupBy("day_of_week")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+        .agg(F.sum("amount").alias("_sum"), F.count("amount").alias("_n"))
     )
     total = F.sum("_sum").cast("double") / F.nullif(F.sum("_n"), F.lit(0)).cast("double")
     return per_weekday.cube("day_of_week").agg(total.alias("sales"))
@@ -78,15 +77,12 @@ def star_weekly_cube(
     sales_facts: DataFrame, date_dim: DataFrame, film_dim: DataFrame, with_gid: bool = False
 ) -> DataFrame:
     """Sales per ISO week and rating with all subtotals, from the star."""
-    sold = (
-        sales_facts.join(date_dim.select("date_id", "week_of_year"), "date_id")
-        .groupBy("film_id", "week_of_year")
-        .agg(F.sum("amount").alias("sales"))
-    )
     grain = (
-        sold.join(film_dim.select("film_id", "rating"), "film_id")
+        sales_facts.select("date_id", "film_id", "amount")
+        .join(date_dim.select("date_id", "week_of_year"), "date_id")
+        .join(film_dim.select("film_id", "rating"), "film_id")
         .groupBy("week_of_year", "rating")
-        .agg(F.sum("sales").alias("sales"))
+        .agg(F.sum("amount").alias("sales"))
     )
     return grouping_sets(grain, ["week_of_year", "rating"], "cube", with_gid)
 
@@ -183,10 +179,9 @@ def sales_by_category(
     film_category: DataFrame, category: DataFrame,
 ) -> DataFrame:
     """Sales per category name, highest first. A film counts in each of its categories."""
-    sold = film_sales(payment, rental, inventory)
+    sold = film_sales(payment, rental, inventory, film)
     return (
-        sold.join(film.select("film_id"), "film_id")
-        .join(film_category.select("film_id", "category_id"), "film_id")
+        sold.join(film_category.select("film_id", "category_id"), "film_id")
         .groupBy("category_id")
         .agg(F.sum("sales").alias("sales"))
         .join(category.select("category_id", "name"), "category_id")

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake import schemas
+from martlake.operators.upsert import delete_insert
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
-from martlake.sources.landing import write_clean
-from martlake.sources.publish import publish
+from martlake.sources.landing import read_clean, write_clean
+from martlake.sources.publish import publish, published_path
+
+TABLE = "cleanweather"
 
 LOG = T.StructType(
     [
@@ -59,13 +62,38 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.schema(LOG).parquet(log)
 
 
-def current_days(spark: SparkSession, log: str) -> DataFrame:
+def newest_of(deliveries: DataFrame) -> DataFrame:
     """The newest delivery of each location and date."""
     tie = F.xxhash64(*[F.col(c) for c in schemas.CLEAN_DAY.fieldNames()])
     newest = [F.col(c).desc_nulls_last() for c in ("batch", "source_time", "source_file")] + [tie]
-    return latest_per_day(read_log(spark, log), newest).select(*schemas.CLEAN_DAY.fieldNames())
+    return latest_per_day(deliveries, newest).select(*schemas.CLEAN_DAY.fieldNames())
+
+
+def _compacted(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
+    """The last compacted version and the last batch in it."""
+    path = published_path(spark, base, TABLE)
+    return (None, -1) if path is None else (read_clean(spark, path), int(path.rsplit("-", 1)[1]))
 
 
-def compact_days(spark: SparkSession, log: str, base: str, run_id: str) -> dict[str, str]:
-    """Write the current days as one new version of the clean table, in month folders."""
-    return publish(spark, {"cleanweather": current_days(spark, log)}, base, run_id, writers={"cleanweather": write_clean})
+def current_days(spark: SparkSession, log: str, base: str | None = None) -> DataFrame:
+    """One row per location and date: its newest delivery.
+
+    With ``base`` only the batches after the last compaction are read from the log.
+    """
+    done, last = _compacted(spark, base) if base else (None, -1)
+    fresh = newest_of(read_log(spark, log).filter(F.col("batch") > last))
+    return fresh if done is None else delete_insert(done, fresh, ["location", "date"])
+
+
+def compact_days(spark: SparkSession, log: str, base: str) -> str | None:
+    """Publish the current days as a new version of the clean table, in month folders.
+
+    The version is named after the last batch it holds. Returns its folder, or that of
+    the version in force if no batch came since.
+    """
+    _, last = _compacted(spark, base)
+    newest = read_log(spark, log).agg(F.max("batch")).first()[0]
+    if newest is None or newest <= last:
+        return published_path(spark, base, TABLE)
+    days = current_days(spark, log, base)
+    return publish(spark, {TABLE: days}, base, f"batch-{newest:012d}", writers={TABLE: write_clean})[TABLE]

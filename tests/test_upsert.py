@@ -46,12 +46,17 @@ def test_stamp_marks_updated_rows_only(spark):
 
 def test_insert_absent(spark):
     target = table(spark, [(1, "a")])
-    stage = table(spark, [(1, "x"), (2, "z"), (2, "y"), (None, "n")])
+    stage = table(spark, [(1, "x"), (2, "z"), (2, "y")])
     once = upsert.insert_absent(target, stage, ["k"])
     assert rows(once) == [(1, "a"), (2, "y")]
     assert rows(upsert.insert_absent(once, stage, ["k"])) == rows(once)
 
 
+def test_insert_absent_refuses_null_key(spark):
+    with pytest.raises(Exception, match="NULL in key"):
+        upsert.insert_absent(table(spark, [(1, "a")]), table(spark, [(None, "n")]), ["k"]).collect()
+
+
 def test_insert_absent_of_keys_alone(spark):
     target, stage = table(spark, [(1,)], "k INT"), table(spark, [(1,), (2,), (2,)], "k INT")
     assert rows(upsert.insert_absent(target, stage, ["k"])) == [(1,), (2,)]

@@ -9,7 +9,7 @@ from martlake import schemas
 from martlake.functions import numbers
 from martlake.operators import weather
 from martlake.plans import jobs
-from martlake.sources import landing, publish, tables
+from martlake.sources import landing, tables
 from martlake.streaming import intake
 
 
@@ -204,9 +204,23 @@ def test_day_delivered_twice_counts_once_newest_wins(spark, tmp_path):
     intake.stream_landing(spark, str(raw), log, spot)
     assert intake.read_log(spark, log).count() == 2
     assert clean_rows(intake.current_days(spark, log)) == [("a", "2020-01-02", 2.0)]
-    intake.compact_days(spark, log, str(tmp_path / "clean"), "run-1")
-    done = landing.read_clean(spark, publish.published_path(spark, str(tmp_path / "clean"), "cleanweather"))
-    assert clean_rows(done) == [("a", "2020-01-02", 2.0)]
+    done = intake.compact_days(spark, log, str(tmp_path / "clean"))
+    assert clean_rows(landing.read_clean(spark, done)) == [("a", "2020-01-02", 2.0)]
+
+
+def test_compaction_goes_on_from_the_last_one(spark, tmp_path):
+    raw, log, spot, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint"), str(tmp_path / "clean")
+    for number, (date, high) in enumerate([("2020-01-02", "1"), ("2020-01-03", "3"), ("2020-01-02", "2")]):
+        land(raw, "a", day(date, [hour()]), date)
+        folder = raw / "location=a" / "year=2020" / "month=01" / f"day={date[-2:]}"
+        (folder / f"delivery{number}.json").write_text(json.dumps(day(date, [hour()], maxtempF=high)))
+        (folder / f"{date.replace('-', '')}.json").unlink()
+        intake.stream_landing(spark, str(raw), log, spot)
+        if number != 1:
+            done = intake.compact_days(spark, log, base)
+    assert clean_rows(landing.read_clean(spark, done)) == [("a", "2020-01-02", 2.0), ("a", "2020-01-03", 3.0)]
+    assert clean_rows(intake.current_days(spark, log, base)) == clean_rows(intake.current_days(spark, log))
+    assert intake.compact_days(spark, log, base) == done  # nothing new
 
 
 def test_batch_run_again_leaves_rows_once(spark, tmp_path):
