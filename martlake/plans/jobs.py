@@ -118,9 +118,16 @@ def run_warehouse_load(spark: SparkSession, extracts: str, base: str, run_id: st
     return published_star(spark, base)
 
 
-def clean_weather(spark: SparkSession, raw: str, out: str, mode: str = "partitions", multiline: bool = False) -> str:
-    """Clean the landing zone; the partitions it holds are replaced, so a second run adds nothing."""
-    return write_clean(clean_days(normalise_days(read_landing(spark, raw, multiline))), out, mode)
+def clean_weather(
+    spark: SparkSession, raw: str, out: str, mode: str = "partitions", multiline: bool = False,
+    catalog: bool = False,
+) -> str:
+    """Clean the landing zone; the partitions it holds are replaced, so a second run adds nothing.
+
+    ``raw`` is its folder, or with ``catalog`` the name of a table registered over it.
+    """
+    days = spark.table(raw) if catalog else read_landing(spark, raw, multiline)
+    return write_clean(clean_days(normalise_days(days)), out, mode)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -138,7 +145,8 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("--extracts", "--base", "--run-id"):
         job.add_argument(name, required=True)
     job = jobs.add_parser("weather")
-    job.add_argument("--raw", required=True)
+    job.add_argument("--raw", required=True, help="folder, or with --catalog the name of a table")
+    job.add_argument("--catalog", action="store_true")
     job.add_argument("--out", required=True)
     job.add_argument("--mode", default="partitions", choices=["partitions", "overwrite", "append"])
     job.add_argument("--multiline", action="store_true")
@@ -155,7 +163,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load":
         run_warehouse_load(spark, args.extracts, args.base, args.run_id)
     else:
-        clean_weather(spark, args.raw, args.out, args.mode, args.multiline)
+        clean_weather(spark, args.raw, args.out, args.mode, args.multiline, args.catalog)
 
 
 if __name__ == "__main__":

@@ -658,9 +658,12 @@ def weather_shapes(b: Bridge) -> DataFrame:
     "clean",
 )
 def weather_registered(b: Bridge) -> DataFrame:
-    """The clean folder as a catalog table with its partitions."""
-    path = landing.write_clean(weather.clean_days(b.weather_days()), scratch_path(b.spark, "clean"))
-    table = tables.register(b.spark, "cleanweather", path, landing.CLEAN_PARTITIONS)
+    """Raw and clean folder as catalog tables with their partitions; the job reads one by name."""
+    base = scratch_path(b.spark, "catalog")
+    landing.write_landing(b.weather_days(), f"{base}/raw")
+    tables.register(b.spark, "rawweatherdata", f"{base}/raw", schemas.LANDING_KEYS, "json", schemas.LANDING)
+    jobs.clean_weather(b.spark, "rawweatherdata", f"{base}/clean", catalog=True)
+    table = tables.register(b.spark, "cleanweather", f"{base}/clean", landing.CLEAN_PARTITIONS)
     return table.groupBy("location", "year", "month").agg(F.count("*").alias("days"), F.max("maxtempF").alias("high"))
 
 

@@ -32,18 +32,21 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
 
 
-def register(spark: SparkSession, name: str, path: str, partitions: list[str] | None = None) -> DataFrame:
-    """Discover the schema and partitions of a Parquet folder and record them as a table.
+def register(
+    spark: SparkSession, name: str, path: str, partitions: list[str] | None = None,
+    source: str = "parquet", schema: T.StructType | None = None,
+) -> DataFrame:
+    """Record a folder as a catalog table with its partitions; the schema is discovered if not given.
 
     Partition values are declared as text, so that zero-padded months and days stay as they are.
     """
     partitions = partitions or []
-    found = spark.read.parquet(path).schema
+    found = schema or spark.read.format(source).load(path).schema
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.fields if f.name not in partitions]
     columns += [f"`{p}` STRING" for p in partitions]
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     split = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
-    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet{split} LOCATION '{path}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING {source}{split} LOCATION '{path}'")
     if partitions:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
