@@ -51,13 +51,13 @@ def preview_days(clean: DataFrame, rows: int = 5) -> DataFrame:
     return clean.orderBy("date", "location").select(*PREVIEW).limit(rows)
 
 
-def latest_per_day(days: DataFrame, newest_first: list) -> DataFrame:
-    """One row per location and date: the newest delivery.
+def latest_per_day(days: DataFrame, keys: list[str], newest_first: list) -> DataFrame:
+    """One row per day: the newest delivery.
 
     Spark ranks inside each task before the shuffle, so a day delivered over and over arrives
     as one row per task.
     """
-    order = Window.partitionBy("location", "date").orderBy(*newest_first)
+    order = Window.partitionBy(*keys).orderBy(*newest_first)
     return days.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 

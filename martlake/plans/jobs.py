@@ -17,7 +17,7 @@ from martlake.plans import snapshots, star
 from martlake.session import build_session
 from martlake.sources.extract import export_extract, read_extract
 from martlake.sources.landing import read_landing, write_clean
-from martlake.sources.publish import publish, published_path, read_published
+from martlake.sources.publish import publish, published_paths
 from martlake.sources.tables import write_fact
 
 Tables = dict[str, DataFrame]
@@ -97,9 +97,8 @@ def publish_star(spark: SparkSession, tables: Tables, base: str, run_id: str) ->
 
 
 def published_star(spark: SparkSession, base: str) -> Tables | None:
-    if published_path(spark, base, "sales_facts") is None:
-        return None
-    return {name: read_published(spark, base, name) for name in schemas.STAR}
+    paths = published_paths(spark, base)
+    return {name: spark.read.parquet(paths[name]) for name in schemas.STAR} if paths else None
 
 
 def run_elt(spark: SparkSession, oltp: Tables, base: str, run_id: str, **dates) -> Tables:

@@ -60,13 +60,18 @@ def _write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def published_path(spark: SparkSession, base: str, name: str) -> str | None:
-    """Folder of the newest published version of one table."""
+def published_paths(spark: SparkSession, base: str) -> dict[str, str]:
+    """Folder of the newest published version of every table; one row per table."""
     known = _manifest(spark, base)
     if known is None:
-        return None
-    newest = known.filter(F.col("name") == name).agg(F.max(F.struct("published_at", "run_id", "path")).alias("top"))
-    return newest.select("top.path").first()[0]
+        return {}
+    newest = known.groupBy("name").agg(F.max(F.struct("published_at", "run_id", "path")).alias("top"))
+    return {row["name"]: row["path"] for row in newest.select("name", "top.path").collect()}
+
+
+def published_path(spark: SparkSession, base: str, name: str) -> str | None:
+    """Folder of the newest published version of one table."""
+    return published_paths(spark, base).get(name)
 
 
 def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:

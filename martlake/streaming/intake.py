@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake import schemas
-from martlake.operators.upsert import delete_insert
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
 from martlake.sources.landing import read_clean, write_clean
 from martlake.sources.publish import publish, published_path
 
 TABLE = "cleanweather"
 
+# A day is known by its landing folder and its date; a date that does not parse is NULL and
+# still tells the day from those of other folders.
+DAY_KEYS = [*schemas.LANDING_KEYS, "date"]
+
 LOG = T.StructType(
     [
         *schemas.CLEAN_DAY.fields,
@@ -63,10 +68,10 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def newest_of(deliveries: DataFrame) -> DataFrame:
-    """The newest delivery of each location and date."""
+    """The newest delivery of each day."""
     tie = F.xxhash64(*[F.col(c) for c in schemas.CLEAN_DAY.fieldNames()])
     newest = [F.col(c).desc_nulls_last() for c in ("batch", "source_time", "source_file")] + [tie]
-    return latest_per_day(deliveries, newest).select(*schemas.CLEAN_DAY.fieldNames())
+    return latest_per_day(deliveries, DAY_KEYS, newest).select(*schemas.CLEAN_DAY.fieldNames())
 
 
 def _compacted(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
@@ -76,13 +81,16 @@ def _compacted(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
 
 
 def current_days(spark: SparkSession, log: str, base: str | None = None) -> DataFrame:
-    """One row per location and date: its newest delivery.
+    """One row per day: its newest delivery.
 
     With ``base`` only the batches after the last compaction are read from the log.
     """
     done, last = _compacted(spark, base) if base else (None, -1)
     fresh = newest_of(read_log(spark, log).filter(F.col("batch") > last))
-    return fresh if done is None else delete_insert(done, fresh, ["location", "date"])
+    if done is None:
+        return fresh
+    same = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in DAY_KEYS])
+    return done.alias("old").join(fresh.select(*DAY_KEYS).alias("new"), same, "left_anti").unionByName(fresh)
 
 
 def compact_days(spark: SparkSession, log: str, base: str) -> str | None:

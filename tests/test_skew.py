@@ -141,7 +141,7 @@ def test_day_delivered_over_and_over(spark):
     days = spark.range(N).selectExpr(
         "IF(id % 3 = 0, 'hot', CONCAT('l', id % 100)) AS location", "DATE '2020-01-01' AS date", "id"
     )
-    newest = {r.location: r.id for r in weather.latest_per_day(days, [F.col("id").desc()]).collect()}
+    newest = {r.location: r.id for r in weather.latest_per_day(days, ["location", "date"], [F.col("id").desc()]).collect()}
     expected = {}
     for i in range(N):
         expected["hot" if i % 3 == 0 else f"l{i % 100}"] = i

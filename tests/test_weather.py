@@ -208,6 +208,19 @@ def test_day_delivered_twice_counts_once_newest_wins(spark, tmp_path):
     assert clean_rows(landing.read_clean(spark, done)) == [("a", "2020-01-02", 2.0)]
 
 
+def test_days_without_a_date_are_kept_apart(spark, tmp_path):
+    raw, log, spot, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint"), str(tmp_path / "clean")
+    for folder, high in (("2020-01-02", "1"), ("2020-01-03", "2")):
+        land(raw, "a", day("no date", [hour()], maxtempF=high), folder)
+    intake.stream_landing(spark, str(raw), log, spot)
+    intake.compact_days(spark, log, base)
+    later = raw / "location=a" / "year=2020" / "month=01" / "day=03" / "later.json"
+    later.write_text(json.dumps(day("no date", [hour()], maxtempF="3")))
+    intake.stream_landing(spark, str(raw), log, spot)
+    done = landing.read_clean(spark, intake.compact_days(spark, log, base))
+    assert sorted((r.day, r.maxtempF) for r in done.collect()) == [("02", 1.0), ("03", 3.0)]
+
+
 def test_compaction_goes_on_from_the_last_one(spark, tmp_path):
     raw, log, spot, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint"), str(tmp_path / "clean")
     for number, (date, high) in enumerate([("2020-01-02", "1"), ("2020-01-03", "3"), ("2020-01-02", "2")]):
@@ -234,5 +247,5 @@ def test_batch_run_again_leaves_rows_once(spark, tmp_path):
 
 def test_newest_is_ranked_before_the_shuffle(spark, tmp_path):
     df = spark.range(100).selectExpr("CAST(id % 3 AS STRING) AS location", "DATE '2020-01-01' AS date", "id")
-    plan = weather.latest_per_day(df, [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
+    plan = weather.latest_per_day(df, ["location", "date"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
