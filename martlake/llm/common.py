@@ -39,3 +39,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marked for a broadcast if it is counted to be within the bound, otherwise left to a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def unused(df: DataFrame, mark: str = "_") -> str:
+    """A prefix that no column of the table begins with."""
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    return mark

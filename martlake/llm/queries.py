@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import mixing, sharding
+from martlake.llm import mixing, quality, sharding, tokens
 from martlake.llm.common import small, stored, table
 
 QUERIES = {}
@@ -17,6 +18,13 @@ def query(run):
     return run
 
 
+@query
+def op2_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", "rejected_by")
+
+
 @query
 def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.byte_shards(table(spark, folder, "documents"), shards=8)
@@ -57,6 +65,12 @@ FROM cut
 """
 
 
+@query
+def op4_sql_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return tokens.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     sizes = mixing.sized(table(spark, folder, "documents"))
