@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import mixing, quality, sharding, tokens
+from martlake.llm import mixing, quality, sharding, tokens, toxicity
 from martlake.llm.common import small, stored, table
 
 QUERIES = {}
@@ -126,3 +126,8 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, taken
 FROM counted c JOIN seeds s ON c.source IS NOT DISTINCT FROM s.source AND c.seed = s.seed
 """
+
+
+@query
+def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
