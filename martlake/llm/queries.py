@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import mixing, quality, sharding, tokens, toxicity
+from martlake.llm import html, licenses, mixing, quality, sharding, tokens, toxicity
 from martlake.llm.common import small, stored, table
 
 QUERIES = {}
@@ -128,6 +128,19 @@ FROM counted c JOIN seeds s ON c.source IS NOT DISTINCT FROM s.source AND c.seed
 """
 
 
+@query
+def op6_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_texts(table(spark, folder, "pages"))
+
+
+@query
+def op7_license_join(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = licenses.license_scan(table(spark, folder, "documents"))
+    return scanned.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 @query
 def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
