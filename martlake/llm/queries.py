@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import html, licenses, mixing, quality, sharding, tokens, toxicity
+from martlake.llm import html, licenses, mixing, neardup, quality, sharding, tokens, toxicity, urls, vectors
 from martlake.llm.common import small, stored, table
 
 QUERIES = {}
@@ -18,6 +18,11 @@ def query(run):
     return run
 
 
+@query
+def op1_odd_sketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
 @query
 def op2_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -141,6 +146,16 @@ def op7_license_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_url_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages"))
