@@ -15,17 +15,16 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 BROADCAST_ROWS = 200_000
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    configure(spark)
-    ship(spark)
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings, and the way for Python workers to import this package from where the driver has it."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    return configure(spark)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
