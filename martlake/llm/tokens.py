@@ -247,8 +247,8 @@ def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """The other columns with `ids` (array of int) and `decoded` (binary, the bytes of the ids)."""
-    keep = [c for c in docs.columns if c != text_col]
+    """The other columns with `ids` (array of int) and `decoded` (binary, the bytes of the ids), in place of any so named."""
+    keep = [c for c in docs.columns if c not in (text_col, "ids", "decoded")]
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
