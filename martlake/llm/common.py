@@ -14,12 +14,20 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 #: A side of a join may be broadcast up to this many rows; callers pass rows of a few numbers or short strings.
 BROADCAST_ROWS = 200_000
 
+#: Rows and bytes that go to a Python worker at once; a longer text goes alone.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings, and the way for Python workers to import this package from where the driver has it."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     return configure(spark)
 
 
