@@ -2,38 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.session import shared_dir
-
-# monotonically_increasing_id: partition number above this bit, row number below it
-ROW_BITS = 33
+from martlake.session import scratch_path
 
 
 def assign_keys(df: DataFrame, key: str, start: int = 1) -> DataFrame:
     """Add ``key`` = start, start + 1, ... in no particular order.
 
-    The rows are written to the checkpoint folder first: numbering reads them twice, and both
-    readings, as well as any task run again, must see the same rows in the same partitions.
+    The rows are written to the shared folder first. A row's number is its place in its file after all rows of
+    the files before it, so any task that is run again numbers its rows alike; files are counted without reading a
+    column. ``session.drop_scratch`` removes the copy once the keyed rows are stored.
     """
     spark = df.sparkSession
-    shared_dir(spark)
-    fixed = df.checkpoint().withColumn("_id", F.monotonically_increasing_id())
-    fixed = fixed.withColumn("_part", F.shiftright("_id", ROW_BITS))
-    # one pair of numbers per partition, however many rows there are
-    counts = sorted((r["_part"], r["n"]) for r in fixed.groupBy("_part").agg(F.count("*").alias("n")).collect())
-    offsets, total = [], start
-    for part, n in counts:
-        offsets.append((part, total))
-        total += n
-    lookup = spark.createDataFrame(offsets, "_part BIGINT, _offset BIGINT")
-    row = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (
-        fixed.join(F.broadcast(lookup), "_part")
-        .withColumn(key, F.col("_offset") + row)
-        .select(key, *df.columns)
-    )
+    path = scratch_path(spark, "keys")
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    place = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # one row per file
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + start).alias("_offset"))
+    return place.join(offsets, "_file").withColumn(key, F.col("_offset") + F.col("_row")).select(key, *df.columns)
 
 
 def next_key(target: DataFrame, key: str) -> int:

@@ -1,6 +1,7 @@
 """Table-wide checks in place of database constraints. Each returns what violates it.
 
-Lookups go against distinct keys, so a hot key on the looked-up side is combined before its shuffle.
+Lookups go against the keys of the looked-up side, combined within tasks before their shuffle; a hot key of
+the rows that are checked can be split.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake import schemas
+from martlake.operators.lookup import anti_join, semi_join
+from martlake.operators.upsert import require_keys
 
 
 def check_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -26,18 +29,21 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows that point at no parent. NULL points nowhere and passes."""
-    known = parent.select(F.col(parent_key).alias(column)).distinct()
-    return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti").select(*child.columns)
+    known = parent.select(F.col(parent_key).alias(column))
+    return anti_join(child.filter(F.col(column).isNotNull()), known, [column])
 
 
 def check_restrict(removed: DataFrame, key: str, child: DataFrame, column: str) -> DataFrame:
     """Parent rows to be removed that some child still points at."""
-    used = child.select(F.col(column).alias(key)).distinct()
-    return removed.join(used, key, "left_semi").select(*removed.columns)
+    return semi_join(removed, child.select(F.col(column).alias(key)), [key])
 
 
 def cascade(child: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
-    """Follow a change of parent keys, given as (old, new); other rows stay as they are."""
+    """Follow a change of parent keys, given as (old, new); other rows stay as they are.
+
+    An old key may be given once only.
+    """
+    require_keys(key_map, ["old"], "key map")
     moved = key_map.select(F.col("old").alias(column), F.col("new").alias("_new"))
     return (
         child.join(moved, column, "left")
@@ -63,8 +69,8 @@ def check_bounds(df: DataFrame, column: str, low, high) -> DataFrame:
 
 
 def check_length(df: DataFrame, limits: dict[str, int]) -> DataFrame:
-    """Rows with a text longer than its column takes."""
-    return df.filter(reduce(lambda a, b: a | b, [F.length(c) > n for c, n in limits.items()]))
+    """Rows with a text of more bytes (UTF-8) than its column takes."""
+    return df.filter(reduce(lambda a, b: a | b, [F.octet_length(c) > n for c, n in limits.items()]))
 
 
 def check_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.functions.calendar import month_bounds, whole_days
+from martlake.operators.lookup import anti_join, semi_join
 
 MONEY = "decimal(18,2)"
 
@@ -18,34 +19,34 @@ def open_rentals(rental: DataFrame) -> DataFrame:
 
 
 def items_out(rental: DataFrame) -> DataFrame:
-    """Items on rent, each once, however many rentals of it are open."""
-    return open_rentals(rental).select("inventory_id").distinct()
+    """Items on rent, once for each open rental."""
+    return open_rentals(rental).select("inventory_id")
 
 
 def stock(inventory: DataFrame, rental: DataFrame) -> DataFrame:
     """Every item with a flag: in stock unless some rental of it is still open."""
-    out = items_out(rental).withColumn("_out", F.lit(True))
-    return inventory.join(out, "inventory_id", "left").select(
-        "inventory_id", "film_id", "store_id", F.col("_out").isNull().alias("in_stock")
-    )
+    return items_in_stock(inventory.select("inventory_id", "film_id", "store_id"), rental)
 
 
 def items_in_stock(items: DataFrame, rental: DataFrame) -> DataFrame:
-    """The flag for any set of ids; an id never rented, or unknown, is in stock."""
-    out = items_out(rental).withColumn("_out", F.lit(True))
-    return items.join(out, "inventory_id", "left").select(
-        *items.columns, F.col("_out").isNull().alias("in_stock")
-    )
+    """The flag for any set of ids; an id never rented, or unknown, is in stock.
+
+    A join that adds a flag would need each item once on its right side; those in and those out of stock are
+    two joins that can split a hot item.
+    """
+    out = items_out(rental)
+    here = anti_join(items, out, ["inventory_id"]).withColumn("in_stock", F.lit(True))
+    return here.unionByName(semi_join(items, out, ["inventory_id"]).withColumn("in_stock", F.lit(False)))
 
 
 def film_in_stock(inventory: DataFrame, rental: DataFrame, film_id=None, store_id=None) -> DataFrame:
     """Items on the shelf, for one film and store or for all."""
-    return _shelf(inventory, film_id, store_id).join(items_out(rental), "inventory_id", "left_anti")
+    return anti_join(_shelf(inventory, film_id, store_id), items_out(rental), ["inventory_id"])
 
 
 def film_not_in_stock(inventory: DataFrame, rental: DataFrame, film_id=None, store_id=None) -> DataFrame:
     """Items out on rent, for one film and store or for all."""
-    return _shelf(inventory, film_id, store_id).join(items_out(rental), "inventory_id", "left_semi")
+    return semi_join(_shelf(inventory, film_id, store_id), items_out(rental), ["inventory_id"])
 
 
 def _shelf(inventory: DataFrame, film_id, store_id) -> DataFrame:

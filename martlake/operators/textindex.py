@@ -1,8 +1,8 @@
-"""Word index over title and description, and search in it."""
+"""Word index over title and description, stored by word, and search in it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.text import STOP_WORDS, words
@@ -25,6 +25,19 @@ def token_index(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     )
 
 
+def write_index(index: DataFrame, key: str, path: str) -> str:
+    """Store an index sorted by word, so that a search skips files and row groups of other words.
+
+    The range cut also looks at the key, so a hot word is cut into several ranges.
+    """
+    index.repartitionByRange("token", key).sortWithinPartitions("token", key).write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def search(index: DataFrame, key: str, terms: list[str], need_all: bool = True) -> DataFrame:
     """Keys holding all (or any) of the words, with the number of hits."""
     wanted = sorted({t.lower() for t in terms} - set(STOP_WORDS))

@@ -1,9 +1,9 @@
 """Table merges as joins: update on conflict, insert if absent, delete then insert.
 
 Each takes the whole target and a stage and returns the new target. All are anti-joins: a small
-stage is broadcast by its size, a large one is shuffled. Spark can split a hot key on the
-left of such a join but not on the right, so the right side is cut to distinct keys first, which
-combines before the shuffle and leaves the keys where the join wants them.
+stage is broadcast by its size, a large one is shuffled. Spark can split a hot key on the left of such a join if
+the join's shuffle stands directly under it, so keys of the right side are combined within tasks only
+(`operators/lookup.py`). Keys that must be unique are counted by themselves before the merge.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlake.operators.lookup import anti_join
+
 
 def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -25,17 +27,15 @@ def require_filled(df: DataFrame, keys: list[str], what: str = "stage") -> DataF
     return df.withColumn(key, checked.cast(kind))
 
 
-def require_unique(df: DataFrame, keys: list[str], what: str = "stage") -> DataFrame:
-    """The same rows; raises when the plan runs if a key is NULL or occurs twice.
+def require_keys(df: DataFrame, keys: list[str], what: str = "stage") -> None:
+    """Raise if a key is NULL or occurs twice.
 
-    One aggregation, combined before its shuffle, so a repeated key travels as one row per task.
+    A job of its own that reads the key columns only; a repeated key travels as one row per task.
     """
-    others = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
-    key, kind = keys[0], df.schema[keys[0]].dataType
-    repeated = F.raise_error(F.lit(f"{what}: more than one row for a key of {keys}"))
-    checked = F.when(F.col("_n") > 1, repeated).otherwise(F.col(key)).cast(kind)
-    return require_filled(grouped.withColumn(key, checked), keys, what).select(*df.columns)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    bad = counts.filter((F.col("_n") > 1) | _any_null(keys)).select(_any_null(keys).alias("empty")).first()
+    if bad is not None:
+        raise ValueError(f"{what}: NULL in key {keys}" if bad["empty"] else f"{what}: more than one row for a key of {keys}")
 
 
 def upsert_update(target: DataFrame, stage: DataFrame, keys: list[str], stamp: str | None = None) -> DataFrame:
@@ -43,8 +43,9 @@ def upsert_update(target: DataFrame, stage: DataFrame, keys: list[str], stamp: s
 
     ``stamp`` names a column that updated rows get the time of the run in; inserted rows keep theirs.
     """
-    stage = require_unique(stage.select(*target.columns), keys)
-    kept = target.join(stage.select(*keys), keys, "left_anti").select(*target.columns)
+    stage = stage.select(*target.columns)
+    require_keys(stage, keys)
+    kept = anti_join(target, stage, keys)
     if stamp:
         known = target.select(*keys).withColumn("_known", F.lit(True))
         stamped = F.when(F.col("_known"), F.current_timestamp()).otherwise(F.col(stamp))
@@ -63,15 +64,13 @@ def insert_absent(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataF
         fresh = fresh.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
     else:
         fresh = fresh.distinct()
-    added = fresh.join(target.select(*keys).distinct(), keys, "left_anti")
-    return target.unionByName(added.select(*target.columns))
+    return target.unionByName(anti_join(fresh, target, keys).select(*target.columns))
 
 
 def delete_insert(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows matched by the stage go, all stage rows come in. A NULL key matches nothing."""
     stage = stage.select(*target.columns)
-    staged = stage.select(*keys).distinct()
-    return target.join(staged, keys, "left_anti").select(*target.columns).unionByName(stage)
+    return anti_join(target, stage, keys).unionByName(stage)
 
 
 def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

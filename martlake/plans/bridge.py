@@ -58,12 +58,12 @@ class Bridge:
             .agg(
                 F.min(F.col("l_partkey") * COPIES + F.col("l_suppkey") % COPIES).alias("inventory_id"),
                 F.min("l_suppkey").alias("staff_id"),
-                F.max("l_linestatus").alias("_status"),
+                F.max(F.when(F.col("l_linestatus") == "F", 0).when(F.col("l_linestatus").isNotNull(), 1)).alias("_open"),
                 F.max("l_shipdate").alias("_shipped"),
             )
             .select(
                 "rental_id", "inventory_id", "staff_id",
-                F.when(F.col("_status") == "F", F.col("_shipped")).alias("return_date"),
+                F.when(F.col("_open") == 0, F.col("_shipped")).alias("return_date"),
             )
         )
 

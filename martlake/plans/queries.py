@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from martlake import schemas
 from martlake.functions.calendar import date_id, month_bounds
 from martlake.operators import quality, rentals, textindex, upsert, weather
-from martlake.operators.keys import assign_keys
+from martlake.operators.keys import assign_keys, next_key
 from martlake.plans import jobs, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
 from martlake.session import configure, scratch_path
@@ -556,16 +556,16 @@ def film_defaults(b: Bridge) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) AS n, min(l_orderkey) AS low_order, CAST(100 AS BIGINT) AS first_key, 99 + count(*) AS last_key,
-              count(*) AS keys FROM lineitem"""
+    """, n AS (SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem)
+       SELECT 'row' AS what, id AS value, count(*) AS n FROM n GROUP BY 2
+       UNION ALL SELECT 'key', unnest(range(max(id) + 1, max(id) + 1 + count(*))), 1 FROM n"""
 )
 def surrogate_keys(b: Bridge) -> DataFrame:
-    """Every line item numbered from 100 on; the numbers must be dense."""
-    numbered = assign_keys(b.source("lineitem").select("l_orderkey", "l_partkey"), "key", start=100)
-    return numbered.agg(
-        F.count("*").alias("n"), F.min("l_orderkey").alias("low_order"), F.min("key").alias("first_key"),
-        F.max("key").alias("last_key"), F.countDistinct("key").alias("keys"),
-    )
+    """Every line item numbered on from the highest id in use: how often each row and each key comes out."""
+    items = b.source("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+    numbered = assign_keys(items, "key", start=next_key(items, "id"))
+    both = F.explode(F.array(F.struct(F.lit("row").alias("what"), F.col("id").alias("value")), F.struct(F.lit("key"), F.col("key"))))
+    return numbered.select(both.alias("b")).groupBy("b.what", "b.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- writing and reading back -------------------------------------------------------------
@@ -759,7 +759,7 @@ def quality_bounds(b: Bridge) -> DataFrame:
     return tables.outside_months(payment, bounds=("1996-01-01", "2001-01-01"))
 
 
-@query("SELECT doc_id, source, lang FROM documents WHERE length(text) > 254 OR length(source) > 4")
+@query("SELECT doc_id, source, lang FROM documents WHERE strlen(text) > 254 OR strlen(source) > 4")
 def quality_length(b: Bridge) -> DataFrame:
     rows = b.source("documents")
     return quality.check_length(rows, {"text": 254, "source": 4}).select("doc_id", "source", "lang")
@@ -846,5 +846,7 @@ def film_fulltext(b: Bridge) -> DataFrame:
     "film",
 )
 def film_search(b: Bridge) -> DataFrame:
+    """Search in the stored index."""
     index = textindex.token_index(b.film(), "film_id", ["title", "description"])
-    return textindex.search(index, "film_id", ["Widget", "the", "PROMO"])
+    path = textindex.write_index(index, "film_id", scratch_path(b.spark, "film-index"))
+    return textindex.search(textindex.read_index(b.spark, path), "film_id", ["Widget", "the", "PROMO"])

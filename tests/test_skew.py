@@ -97,11 +97,35 @@ def test_stock_with_a_hot_item(hot):
     assert set(held) == out and held[0] == 0
 
 
-def test_lookup_sides_are_combined_before_the_shuffle(spark, hot, small_limits):
+def lookups(spark, hot):
+    """Joins whose left side holds a third of its rows on one key, with the number of rows they return."""
     _, rental, inventory, _ = hot
-    for df in (rentals.film_in_stock(inventory, rental), quality.check_restrict(inventory, "inventory_id", rental, "inventory_id")):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("HashAggregate(keys=[inventory_id") == 2  # partial below the exchange, final above
+    out = {0 if i % 3 == 0 else i % 500 for i in range(6000) if i % 4 == 0}
+    left = spark.range(N).selectExpr("id", "CAST(IF(id % 3 = 0, 0, id % 500) AS INT) AS inventory_id").repartition(8)
+    shelf = left.selectExpr("inventory_id", "id AS film_id", "1 AS store_id")
+    hit = sum((0 if i % 3 == 0 else i % 500) in out for i in range(N))
+    some = spark.range(400).selectExpr("CAST(id AS INT) AS inventory_id", "id").repartition(8)
+    known = sum((0 if i % 3 == 0 else i % 500) < 400 for i in range(N))
+    moved = spark.range(400).selectExpr("CAST(id AS INT) AS old", "CAST(id + 1000 AS INT) AS new").repartition(8)
+    return {
+        "stock": (rentals.stock(shelf, rental), N),
+        "items_in_stock": (rentals.items_in_stock(left, rental), N),
+        "film_in_stock": (rentals.film_in_stock(shelf, rental), N - hit),
+        "film_not_in_stock": (rentals.film_not_in_stock(shelf, rental), hit),
+        "delete_insert": (upsert.delete_insert(left, some.select("id", "inventory_id"), ["inventory_id"]), N - known + 400),
+        "check_fk": (quality.check_fk(left, "inventory_id", some, "inventory_id"), N - known),
+        "check_restrict": (quality.check_restrict(left, "inventory_id", some, "inventory_id"), known),
+        "cascade": (quality.cascade(left, "inventory_id", moved), N),
+    }
+
+
+@pytest.mark.parametrize(
+    "name", "stock items_in_stock film_in_stock film_not_in_stock delete_insert check_fk check_restrict cascade".split()
+)
+def test_hot_keys_of_lookups_are_split(spark, hot, small_limits, name):
+    df, rows = lookups(spark, hot)[name]
+    assert len(df.collect()) == rows
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_facts_of_a_hot_key(hot):

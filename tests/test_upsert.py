@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlake import schemas
-from martlake.operators import upsert
+from martlake.operators import quality, upsert
 from martlake.operators.keys import assign_keys, next_key
+from martlake.session import drop_scratch, scratch_path
 
 
 def table(spark, rows, ddl="k INT, v STRING"):
@@ -105,3 +106,24 @@ def test_assigned_keys_of_nothing(spark):
 def test_next_key(spark):
     assert next_key(spark.range(5), "id") == 5
     assert next_key(spark.range(0), "id") == 1
+
+
+def test_scratch_is_dropped(spark):
+    path = scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_no_sort_aggregates_in_merges(spark):
+    target, stage = table(spark, [(1, "a")]), table(spark, [(1, "b")])
+    for df in (upsert.upsert_update(target, stage, ["k"]), upsert.delete_insert(target, stage, ["k"])):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cascade_refuses_a_repeated_old_key(spark):
+    moved = table(spark, [(1, 5), (1, 6)], "old INT, new INT")
+    with pytest.raises(ValueError, match="key map: more than one row"):
+        quality.cascade(table(spark, [(1, "a")]), "k", moved)
