@@ -14,9 +14,13 @@ PREVIEW = ["date", "mintempF", "avgtempF", "maxtempF", "avgHumidity", "avgPressu
 
 
 def normalise_days(raw: DataFrame) -> DataFrame:
-    """Bare day rows from whole replies, replies without their envelope, and bare days."""
+    """Bare day rows from whole replies, replies without their envelope, and bare days.
+
+    A reply with no day gives no row; ``landing.rejected`` lists those.
+    """
     bare = F.array(F.struct(*DAY_FIELDS))
-    days = F.explode(F.coalesce(F.col("data.weather"), F.col("weather"), bare))
+    listed = F.coalesce(F.col("data.weather"), F.col("weather"), bare)
+    days = F.explode(F.filter(listed, lambda day: day.isNotNull()))
     rest = [c for c in raw.columns if c not in ("data", "weather", *DAY_FIELDS)]
     return raw.select(days.alias("_day"), *rest).select("_day.*", *rest)
 

@@ -8,17 +8,19 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlake import schemas
 from martlake.operators.quality import check_null, check_unique
 from martlake.operators.upsert import delete_insert, insert_absent, upsert_update
-from martlake.operators.weather import clean_days, normalise_days
+from martlake.operators.weather import clean_days, latest_per_day, normalise_days
 from martlake.plans import snapshots, star
 from martlake.session import build_session
 from martlake.sources.extract import export_extract, read_extract
-from martlake.sources.landing import read_landing, write_clean
+from martlake.sources.landing import accepted, empty_files, list_files, read_landing, rejected, write_clean
 from martlake.sources.publish import publish, published_paths
-from martlake.sources.tables import write_fact
+from martlake.sources.tables import table_folder, write_fact
+from martlake.streaming.intake import DAY_KEYS
 
 Tables = dict[str, DataFrame]
 
@@ -118,15 +120,26 @@ def run_warehouse_load(spark: SparkSession, extracts: str, base: str, run_id: st
 
 
 def clean_weather(
-    spark: SparkSession, raw: str, out: str, mode: str = "partitions", multiline: bool = False,
-    catalog: bool = False,
+    spark: SparkSession, raw: str, out: str, mode: str = "partitions", catalog: bool = False, rejects: str | None = None,
 ) -> str:
     """Clean the landing zone; the partitions it holds are replaced, so a second run adds nothing.
 
-    ``raw`` is its folder, or with ``catalog`` the name of a table registered over it.
+    Of a day that was delivered several times the newest file counts. ``raw`` is the landing folder, or with
+    ``catalog`` the name of a table registered over it. Documents without a day are written to ``rejects``; without
+    that folder they stop the job, after all days are written.
     """
-    days = spark.table(raw) if catalog else read_landing(spark, raw, multiline)
-    return write_clean(clean_days(normalise_days(days)), out, mode)
+    root = table_folder(spark, raw) if catalog else raw
+    documents = read_landing(spark, root)
+    days = clean_days(normalise_days(accepted(documents)))
+    tie = F.xxhash64(*[F.col(c) for c in schemas.CLEAN_DAY.fieldNames()])
+    newest = [F.col("source_time").desc(), F.col("source_file").desc(), tie]
+    write_clean(latest_per_day(days, DAY_KEYS, newest).select(*schemas.CLEAN_DAY.fieldNames()), out, mode)
+    left = rejected(documents).unionByName(empty_files(list_files(spark, root)))
+    if rejects:
+        left.write.mode("overwrite").parquet(rejects)
+    elif (row := left.first()) is not None:
+        raise ValueError(f"{row['source_file']}: {row['reason']}")
+    return out
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -148,7 +161,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--catalog", action="store_true")
     job.add_argument("--out", required=True)
     job.add_argument("--mode", default="partitions", choices=["partitions", "overwrite", "append"])
-    job.add_argument("--multiline", action="store_true")
+    job.add_argument("--rejects", help="folder for documents without a day; without it they stop the job")
     args = parser.parse_args(argv)
 
     spark = build_session(f"martlake-{args.job}")
@@ -162,7 +175,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load":
         run_warehouse_load(spark, args.extracts, args.base, args.run_id)
     else:
-        clean_weather(spark, args.raw, args.out, args.mode, args.multiline, args.catalog)
+        clean_weather(spark, args.raw, args.out, args.mode, args.catalog, args.rejects)
 
 
 if __name__ == "__main__":

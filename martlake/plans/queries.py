@@ -7,6 +7,7 @@ query's SQL names those it needs in ``uses``.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,7 +99,7 @@ SHAPES = {
                CAST(coalesce(CAST(sum(CASE WHEN u % 2 <> 0 THEN n END) AS DOUBLE), 'nan'::DOUBLE) AS FLOAT) AS "totalPrecipMM",
                location, strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%d') AS day
         FROM hours GROUP BY location, d""",
-    "busy_days": "SELECT DISTINCT event_type AS location, CAST(ts AS DATE) AS date FROM events WHERE value > 60",
+    "busy_days": "SELECT DISTINCT event_type || (user_id % 97) AS location, CAST(ts AS DATE) AS date FROM events",
 }
 NEEDS = {
     "sold": ["payment", "rental", "inventory", "film"],
@@ -482,16 +483,16 @@ def dim_upsert(b: Bridge) -> DataFrame:
 
 @query(
     """SELECT customer_id, first_name, last_name, activebool AS known,
-              activebool AND store_id < 12 AS stamped FROM customers WHERE activebool OR store_id < 12""",
+              activebool AND store_id < 12 AS stamped FROM customers""",
     "customers",
 )
 def dim_upsert_stamped(b: Bridge) -> DataFrame:
-    """Active customers are known; those of the first stores are staged. Only known ones are stamped."""
+    """Active customers are known; the others and those of the first stores are staged. Only known ones are stamped."""
     old = F.lit(datetime.datetime(2000, 1, 1)).cast("timestamp")
     people = b.customer().withColumn("last_update", old).withColumnRenamed("activebool", "known")
     columns = ["customer_id", "first_name", "last_name", "known", "last_update"]
     target = people.filter("known").select(*columns)
-    stage = people.filter(F.col("store_id") < 12).select(*columns)
+    stage = people.filter(~F.col("known") | (F.col("store_id") < 12)).select(*columns)
     merged = upsert.upsert_update(target, stage, ["customer_id"], stamp="last_update")
     return merged.withColumn("stamped", F.col("last_update") > old).drop("last_update")
 
@@ -564,7 +565,7 @@ def surrogate_keys(b: Bridge) -> DataFrame:
     """Every line item numbered on from the highest id in use: how often each row and each key comes out."""
     items = b.source("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
     numbered = assign_keys(items, "key", start=next_key(items, "id"))
-    both = F.explode(F.array(F.struct(F.lit("row").alias("what"), F.col("id").alias("value")), F.struct(F.lit("key"), F.col("key"))))
+    both = F.explode(F.array(F.struct(F.lit("row").alias("what"), F.col("id").alias("value")), F.struct(F.lit("key").alias("what"), F.col("key").alias("value"))))
     return numbered.select(both.alias("b")).groupBy("b.what", "b.value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -647,6 +648,9 @@ def weather_shapes(b: Bridge) -> DataFrame:
         *[F.when(shape == 2, F.col(c)).alias(c) for c in weather.DAY_FIELDS],
         *schemas.LANDING_KEYS,
     )
+    # Every day comes twice, first with a temperature that is put right by the second file.
+    stale = days.withColumn("maxtempF", F.lit("-1"))
+    landing.write_landing(stale, f"{base}/raw")
     landing.write_landing(wrapped, f"{base}/raw")
     for _ in range(2):
         jobs.clean_weather(b.spark, f"{base}/raw", f"{base}/clean")
@@ -658,13 +662,21 @@ def weather_shapes(b: Bridge) -> DataFrame:
     "clean",
 )
 def weather_registered(b: Bridge) -> DataFrame:
-    """Raw and clean folder as catalog tables with their partitions; the job reads one by name."""
+    """Raw and clean folder as catalog tables with their partitions; the job reads one by name.
+
+    The tables have names of their own and are gone from the catalog once the result is stored.
+    """
     base = scratch_path(b.spark, "catalog")
+    raw, clean = (f"{kind}weather_{uuid.uuid4().hex}" for kind in ("raw", "clean"))
     landing.write_landing(b.weather_days(), f"{base}/raw")
-    tables.register(b.spark, "rawweatherdata", f"{base}/raw", schemas.LANDING_KEYS, "json", schemas.LANDING)
-    jobs.clean_weather(b.spark, "rawweatherdata", f"{base}/clean", catalog=True)
-    table = tables.register(b.spark, "cleanweather", f"{base}/clean", landing.CLEAN_PARTITIONS)
-    return table.groupBy("location", "year", "month").agg(F.count("*").alias("days"), F.max("maxtempF").alias("high"))
+    tables.register(b.spark, raw, f"{base}/raw", schemas.LANDING_KEYS, "json", schemas.LANDING)
+    jobs.clean_weather(b.spark, raw, f"{base}/clean", catalog=True)
+    table = tables.register(b.spark, clean, f"{base}/clean", landing.CLEAN_PARTITIONS)
+    found = table.groupBy("location", "year", "month").agg(F.count("*").alias("days"), F.max("maxtempF").alias("high"))
+    found.write.parquet(f"{base}/found")
+    for name in (raw, clean):
+        b.spark.sql(f"DROP TABLE {name}")
+    return b.spark.read.parquet(f"{base}/found")
 
 
 @query(
@@ -677,7 +689,9 @@ def weather_preview(b: Bridge) -> DataFrame:
 
 
 def _busy_days(b: Bridge) -> DataFrame:
-    return b.source("events").filter("value > 60").select(F.col("event_type").alias("location"), F.to_date("ts").alias("date"))
+    """Days with an event, for each kind and group of users; with this many groups, days are missing."""
+    location = F.concat("event_type", (F.col("user_id") % 97).cast("string"))
+    return b.source("events").select(location.alias("location"), F.to_date("ts").alias("date"))
 
 
 @query(
@@ -700,18 +714,54 @@ def weather_next_day(b: Bridge) -> DataFrame:
 
 @query("SELECT * FROM clean", "clean")
 def streamed_days(b: Bridge) -> DataFrame:
-    """Days landed in two deliveries that overlap, taken in by two runs on one checkpoint."""
+    """Days landed in two deliveries that overlap, some broken or empty at first, taken in by two runs on one log."""
     base = scratch_path(b.spark, "intake")
     days = b.weather_days()
-    early = F.col("day") < "16"
+    early = (F.col("day") < "16") & ~F.col("day").isin(*BROKEN_DAYS, *EMPTY_DAYS)
     stale = days.withColumn("maxtempF", F.when(early, F.col("maxtempF")).otherwise(F.lit("-1")))
-    for delivery in (stale, days.filter(~early)):
-        landing.write_landing(delivery, f"{base}/raw")
-        intake.stream_landing(b.spark, f"{base}/raw", f"{base}/log", f"{base}/checkpoint")
+    for delivery in (_replies(stale), days.filter(~early)):
+        _land(delivery, f"{base}/raw")
+        intake.take_in(b.spark, f"{base}/raw", f"{base}/log")
         done = intake.compact_days(b.spark, f"{base}/log", f"{base}/clean")
     return landing.read_clean(b.spark, done)
 
 
+BROKEN_DAYS, EMPTY_DAYS = ("07", "14"), ("21",)
+
+
+def _replies(days: DataFrame) -> DataFrame:
+    """Days as the text of replies; some end too early, some hold no day."""
+    text = F.to_json(F.struct(*weather.DAY_FIELDS))
+    cut = F.expr("substring(_text, 1, length(_text) div 2)")
+    return days.withColumn("_text", text).select(
+        F.when(F.col("day").isin(*BROKEN_DAYS), cut)
+        .when(F.col("day").isin(*EMPTY_DAYS), F.lit('{"data": {"weather": []}}'))
+        .otherwise(F.col("_text"))
+        .alias("value"),
+        *schemas.LANDING_KEYS,
+    )
+
+
+def _land(days: DataFrame, root: str) -> None:
+    if "value" in days.columns:
+        days.hint("rebalance", *schemas.LANDING_KEYS).write.mode("append").partitionBy(*schemas.LANDING_KEYS).text(root)
+    else:
+        landing.write_landing(days, root)
+
+
+@query(
+    """SELECT location, year, month, day, CASE WHEN day = '21' THEN 'no day in it' ELSE 'not a JSON document' END AS reason
+       FROM clean WHERE day IN ('07', '14', '21')""",
+    "clean",
+)
+def weather_rejected(b: Bridge) -> DataFrame:
+    """Replies without a day, in batches of few files; they are kept with the reason."""
+    base = scratch_path(b.spark, "rejects")
+    _land(_replies(b.weather_days()), f"{base}/raw")
+    intake.take_in(b.spark, f"{base}/raw", f"{base}/log", files_per_batch=100)
+    return intake.rejected_documents(b.spark, f"{base}/log").select(*schemas.LANDING_KEYS, "reason")
+
+
 # --- data quality -------------------------------------------------------------------------
 
 

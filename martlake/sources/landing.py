@@ -3,18 +3,83 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlake import schemas
 
 CLEAN_PARTITIONS = ["location", "year", "month"]
 
 
-def read_landing(spark: SparkSession, root: str, multiline: bool = False) -> DataFrame:
-    """Raw JSON of all three shapes below ``location=/year=/month=/day=`` folders.
+# What a landing file is read as: its whole text, and the folders it lies in.
+FILES = T.StructType([T.StructField("value", T.StringType()), *[T.StructField(k, T.StringType()) for k in schemas.LANDING_KEYS]])
+CORRUPT = "_corrupt"
+DOCUMENT = T.StructType([*[f for f in schemas.LANDING.fields if f.name not in schemas.LANDING_KEYS], T.StructField(CORRUPT, T.StringType())])
+SOURCE = ["source_file", "source_time", "source_size"]
 
-    Only the needed fields are parsed. ``multiline`` reads files with one pretty-printed reply each.
+
+def read_landing(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """Every JSON document below ``location=/year=/month=/day=`` folders, in any of the three shapes.
+
+    A file is read whole. If its first line is a document of its own, each line is one; otherwise, as in a
+    pretty-printed reply, the file is. Only the needed fields are parsed. ``reason`` says why a document holds no day
+    (``text`` then holds it), and is NULL for all others; source columns name the file it came from.
+    ``paths`` picks files below the folder.
     """
-    return spark.read.schema(schemas.LANDING).option("multiLine", multiline).json(root)
+    files = spark.read.schema(FILES).option("basePath", root).text(paths or root, wholetext=True)
+    files = files.select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("source_time"),
+        F.col("_metadata.file_size").alias("source_size"),
+    )
+    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.length(F.trim(line)) > 0)
+    first = F.trim(F.get(lines, F.lit(0)))
+    by_line = F.coalesce(first.startswith("{") & first.endswith("}"), F.lit(False))
+    texts = files.withColumn("text", F.explode(F.when(by_line, lines).otherwise(F.array("value")))).drop("value")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = texts.withColumn("_doc", F.from_json("text", DOCUMENT, options))
+    fields = [f.name for f in DOCUMENT.fields if f.name != CORRUPT]
+    broken = F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull()
+    listed = F.coalesce("_doc.data.weather", "_doc.weather")
+    nothing = F.lit(True)
+    for name in schemas.RAW_DAY.fieldNames():
+        nothing = nothing & F.col(f"_doc.{name}").isNull()
+    no_day = F.when(listed.isNotNull(), ~F.exists(listed, lambda day: day.isNotNull())).otherwise(nothing)
+    reason = F.when(broken, "not a JSON document").when(no_day, "no day in it")
+    return parsed.withColumn("reason", reason).select(
+        *[F.col(f"_doc.{name}").alias(name) for name in fields],
+        *schemas.LANDING_KEYS,
+        *SOURCE,
+        "reason",
+        F.when(reason.isNotNull(), F.col("text")).alias("text"),
+    )
+
+
+def accepted(documents: DataFrame) -> DataFrame:
+    """Documents with a day in them, with the columns of the landing zone and the file they came from."""
+    return documents.filter(F.col("reason").isNull()).drop("reason", "text")
+
+
+def rejected(documents: DataFrame) -> DataFrame:
+    """Documents without a day: where they lie, why, and what they say."""
+    return documents.filter(F.col("reason").isNotNull()).select(*schemas.LANDING_KEYS, *SOURCE, "reason", "text")
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Path, time and size of every landing file; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return found.select(
+        F.col("path").alias("source_file"), F.col("modificationTime").alias("source_time"), F.col("length").alias("source_size")
+    )
+
+
+def empty_files(files: DataFrame) -> DataFrame:
+    """Listed files of no bytes, which no reader returns a row for, as rejected documents."""
+    keys = [F.regexp_extract("source_file", f"/{key}=([^/]*)/", 1).alias(key) for key in schemas.LANDING_KEYS]
+    return files.filter("source_size = 0").select(
+        *keys, *SOURCE, F.lit("empty file").alias("reason"), F.lit("").alias("text")
+    )
 
 
 def write_landing(days: DataFrame, root: str, mode: str = "append") -> str:

@@ -38,20 +38,39 @@ def register(
 ) -> DataFrame:
     """Record a folder as a catalog table with its partitions; the schema is discovered if not given.
 
-    Partition values are declared as text, so that zero-padded months and days stay as they are.
+    Partition values are declared as text, so that zero-padded months and days stay as they are. A table
+    of that name over the same folder is declared anew; one over another folder is left alone and stops the call.
     """
     partitions = partitions or []
     found = schema or spark.read.format(source).load(path).schema
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.fields if f.name not in partitions]
     columns += [f"`{p}` STRING" for p in partitions]
     split = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING {source}{split} LOCATION '{path}'")
+    if spark.catalog.tableExists(name):
+        if table_folder(spark, name).rstrip("/") != _qualified(spark, path).rstrip("/"):
+            raise ValueError(f"{name} is a table over another folder")
+        spark.sql(f"DROP TABLE {name}")
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING {source}{split} LOCATION '{place}'")
     if partitions:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
+def table_folder(spark: SparkSession, name: str) -> str:
+    """The folder a catalog table lies in."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    if described is None:
+        raise LookupError(f"{name} has no folder")
+    return described["data_type"]
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as the catalog writes it, with its file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+
+
 def write_partitioned(
     df: DataFrame, path: str, moment: str = "payment_date",
     bounds: tuple[str, str] | None = PAYMENT_RANGE, mode: str = "overwrite",

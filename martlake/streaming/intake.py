@@ -1,16 +1,34 @@
-"""Incremental weather intake: a file stream into an append-only log of cleaned days."""
+"""Incremental weather intake: files that are new or changed go into an append-only log of cleaned days.
+
+The log is its own checkpoint. ``files`` holds path, modification time and size of every file taken in, ``days``
+the cleaned days, ``rejected`` the documents that hold none, all in one folder per batch. A batch writes days and
+rejects first and its files last; until then it does not count, and the next run writes it again under the same
+number. A file is taken in if the log does not hold it with its present time and size, so one that is delivered again
+under its name, or that is older than all others, is never missed. A file source with a checkpoint of its own would
+remember names only and leave out late files by their age.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake import schemas
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
-from martlake.sources.landing import read_clean, write_clean
+from martlake.sources.landing import (
+    SOURCE,
+    accepted,
+    empty_files,
+    list_files,
+    read_clean,
+    read_landing,
+    rejected,
+    write_clean,
+)
 from martlake.sources.publish import publish, published_path
 
 TABLE = "cleanweather"
@@ -19,52 +37,80 @@ TABLE = "cleanweather"
 # still tells the day from those of other folders.
 DAY_KEYS = [*schemas.LANDING_KEYS, "date"]
 
-LOG = T.StructType(
+TAKEN = T.StructType(
     [
-        *schemas.CLEAN_DAY.fields,
-        T.StructField("source_time", T.TimestampType()),
         T.StructField("source_file", T.StringType()),
+        T.StructField("source_time", T.TimestampType()),
+        T.StructField("source_size", T.LongType()),
         T.StructField("batch", T.LongType()),
     ]
 )
+LOG = T.StructType([*schemas.CLEAN_DAY.fields, *TAKEN.fields])
+REJECTED = T.StructType(
+    [
+        *[T.StructField(k, T.StringType()) for k in schemas.LANDING_KEYS],
+        *TAKEN.fields[:-1],
+        T.StructField("reason", T.StringType()),
+        T.StructField("text", T.StringType()),
+        TAKEN["batch"],
+    ]
+)
 
 
-def stream_landing(
-    spark: SparkSession, root: str, log: str, checkpoint: str, files_per_batch: int = 100_000
-) -> None:
-    """Clean the files that arrived since the last run, then stop.
+def _log_part(spark: SparkSession, log: str, part: str, schema: T.StructType) -> DataFrame:
+    """One part of the log; empty before the first batch."""
+    try:
+        return spark.read.schema(schema).parquet(f"{log}/{part}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
-    The checkpoint holds the position. Each batch owns one folder of the log and writes it by
-    overwrite, so a batch that is run again after a failure leaves the same rows once.
-    A log belongs to one checkpoint.
-    """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        clean = clean_days(normalise_days(batch))
-        clean.select(*LOG.fieldNames()[:-1]).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
-
-    raw = (
-        spark.readStream.schema(schemas.LANDING)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(root)
-        .select(
-            "*",
-            F.col("_metadata.file_modification_time").alias("source_time"),
-            F.col("_metadata.file_path").alias("source_file"),
-        )
-    )
-    query = (
-        raw.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def taken_files(spark: SparkSession, log: str) -> DataFrame:
+    return _log_part(spark, log, "files", TAKEN)
+
+
+def last_batch(spark: SparkSession, log: str) -> int:
+    """The newest batch that counts, or -1. Batch numbers come from the folders' names."""
+    newest = taken_files(spark, log).agg(F.max("batch")).first()[0]
+    return -1 if newest is None else newest
+
+
+def waiting_files(spark: SparkSession, root: str, log: str) -> DataFrame:
+    """Files that the log does not hold as they are now; their contents are not read."""
+    return list_files(spark, root).join(taken_files(spark, log).select(*SOURCE), SOURCE, "left_anti")
+
+
+def take_in(spark: SparkSession, root: str, log: str, files_per_batch: int = 100_000) -> int:
+    """Clean the files that are new or changed, in batches of at most so many; returns the last batch's number.
+
+    The driver holds the paths of one batch at a time.
+    """
+    while True:
+        waiting = waiting_files(spark, root, log).orderBy("source_time", "source_file").limit(files_per_batch)
+        paths = [r["source_file"] for r in waiting.select("source_file").collect()]
+        batch = last_batch(spark, log)
+        if not paths:
+            return batch
+        batch += 1
+        documents = read_landing(spark, root, paths)
+        days = clean_days(normalise_days(accepted(documents)))
+        wanted = [f.name for f in LOG.fields if f.name != "batch"]
+        days.select(*wanted).write.mode("overwrite").parquet(f"{log}/days/batch={batch}")
+        rejected(documents).unionByName(empty_files(waiting)).write.mode("overwrite").parquet(f"{log}/rejected/batch={batch}")
+        # As listed before the reading: a file that changed meanwhile is still waiting.
+        waiting.write.mode("overwrite").parquet(f"{log}/files/batch={batch}")
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    """Every delivery of every day."""
-    return spark.read.schema(LOG).parquet(log)
+    """Every delivery of every day, of the batches that count."""
+    return _log_part(spark, log, "days", LOG).filter(F.col("batch") <= last_batch(spark, log))
+
+
+def rejected_documents(spark: SparkSession, log: str) -> DataFrame:
+    """Documents without a day, of the batches that count, with the reason."""
+    return _log_part(spark, log, "rejected", REJECTED).filter(F.col("batch") <= last_batch(spark, log))
 
 
 def newest_of(deliveries: DataFrame) -> DataFrame:
@@ -100,8 +146,8 @@ def compact_days(spark: SparkSession, log: str, base: str) -> str | None:
     the version in force if no batch came since.
     """
     _, last = _compacted(spark, base)
-    newest = read_log(spark, log).agg(F.max("batch")).first()[0]
-    if newest is None or newest <= last:
+    newest = last_batch(spark, log)
+    if newest <= last:
         return published_path(spark, base, TABLE)
     days = current_days(spark, log, base)
     return publish(spark, {TABLE: days}, base, f"batch-{newest:012d}", writers={TABLE: write_clean})[TABLE]

@@ -1,6 +1,8 @@
 import datetime
 import json
 import math
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,17 +99,17 @@ def test_three_shapes_in_one_read(spark, tmp_path):
     land(raw, "a", {"data": {"request": request, "weather": [day("2020-01-02", [hour(humidity="10")])]}}, "2020-01-02")
     land(raw, "b", {"request": request, "weather": [day("2020-01-02", [hour(humidity="20")])]}, "2020-01-02")
     land(raw, "c", day("2020-01-02", [hour(humidity="30")]), "2020-01-02")
-    clean = weather.clean_days(weather.normalise_days(landing.read_landing(spark, str(raw))))
+    clean = weather.clean_days(weather.normalise_days(landing.accepted(landing.read_landing(spark, str(raw)))))
     assert {(r.location, r.avgHumidity, r.month, r.day) for r in clean.collect()} == {
         ("a", 10.0, "01", "02"), ("b", 20.0, "01", "02"), ("c", 30.0, "01", "02"),
     }
-    assert clean.schema.simpleString() == schemas.CLEAN_DAY.simpleString()
+    assert clean.drop(*landing.SOURCE).schema.simpleString() == schemas.CLEAN_DAY.simpleString()
 
 
 def test_pretty_printed_reply(spark, tmp_path):
     raw = tmp_path / "raw"
     land(raw, "a", {"data": {"weather": [day("2020-12-25", [hour()] * 8)]}}, "2020-12-25", indent=2)
-    clean = weather.clean_days(weather.normalise_days(landing.read_landing(spark, str(raw), multiline=True)))
+    clean = weather.clean_days(weather.normalise_days(landing.accepted(landing.read_landing(spark, str(raw)))))
     assert [r.avgHumidity for r in clean.collect()] == [50.0]
 
 
@@ -152,7 +154,7 @@ def test_preview(spark, tmp_path):
     raw = tmp_path / "raw"
     for i in range(1, 8):
         land(raw, "a", day(f"2020-01-0{i}", [hour()]), f"2020-01-0{i}")
-    clean = weather.clean_days(weather.normalise_days(landing.read_landing(spark, str(raw))))
+    clean = weather.clean_days(weather.normalise_days(landing.accepted(landing.read_landing(spark, str(raw)))))
     shown = weather.preview_days(clean)
     assert shown.columns == weather.PREVIEW
     assert [r.date.day for r in shown.collect()] == [1, 2, 3, 4, 5]
@@ -182,26 +184,26 @@ def clean_rows(df):
 
 
 def test_intake_in_two_runs_equals_one_batch(spark, tmp_path):
-    raw, log, spot = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint")
+    raw, log = tmp_path / "raw", str(tmp_path / "log")
     land(raw, "a", day("2020-01-02", [hour()]), "2020-01-02")
     land(raw, "b", {"weather": [day("2020-01-02", [hour()])]}, "2020-01-02")
-    intake.stream_landing(spark, str(raw), log, spot)
+    intake.take_in(spark, str(raw), log)
     assert len(clean_rows(intake.current_days(spark, log))) == 2
     land(raw, "a", {"data": {"weather": [day("2020-01-03", [hour()])]}}, "2020-01-03")
-    intake.stream_landing(spark, str(raw), log, spot)
-    intake.stream_landing(spark, str(raw), log, spot)  # nothing new
+    intake.take_in(spark, str(raw), log)
+    intake.take_in(spark, str(raw), log)  # nothing new
     assert intake.read_log(spark, log).count() == 3
-    batch = weather.clean_days(weather.normalise_days(landing.read_landing(spark, str(raw))))
+    batch = weather.clean_days(weather.normalise_days(landing.accepted(landing.read_landing(spark, str(raw)))))
     assert clean_rows(intake.current_days(spark, log)) == clean_rows(batch)
 
 
 def test_day_delivered_twice_counts_once_newest_wins(spark, tmp_path):
-    raw, log, spot = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint")
+    raw, log = tmp_path / "raw", str(tmp_path / "log")
     land(raw, "a", day("2020-01-02", [hour()], maxtempF="1"), "2020-01-02")
-    intake.stream_landing(spark, str(raw), log, spot)
+    intake.take_in(spark, str(raw), log)
     folder = raw / "location=a" / "year=2020" / "month=01" / "day=02"
     (folder / "again.json").write_text(json.dumps(day("2020-01-02", [hour()], maxtempF="2")))
-    intake.stream_landing(spark, str(raw), log, spot)
+    intake.take_in(spark, str(raw), log)
     assert intake.read_log(spark, log).count() == 2
     assert clean_rows(intake.current_days(spark, log)) == [("a", "2020-01-02", 2.0)]
     done = intake.compact_days(spark, log, str(tmp_path / "clean"))
@@ -209,26 +211,26 @@ def test_day_delivered_twice_counts_once_newest_wins(spark, tmp_path):
 
 
 def test_days_without_a_date_are_kept_apart(spark, tmp_path):
-    raw, log, spot, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint"), str(tmp_path / "clean")
+    raw, log, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "clean")
     for folder, high in (("2020-01-02", "1"), ("2020-01-03", "2")):
         land(raw, "a", day("no date", [hour()], maxtempF=high), folder)
-    intake.stream_landing(spark, str(raw), log, spot)
+    intake.take_in(spark, str(raw), log)
     intake.compact_days(spark, log, base)
     later = raw / "location=a" / "year=2020" / "month=01" / "day=03" / "later.json"
     later.write_text(json.dumps(day("no date", [hour()], maxtempF="3")))
-    intake.stream_landing(spark, str(raw), log, spot)
+    intake.take_in(spark, str(raw), log)
     done = landing.read_clean(spark, intake.compact_days(spark, log, base))
     assert sorted((r.day, r.maxtempF) for r in done.collect()) == [("02", 1.0), ("03", 3.0)]
 
 
 def test_compaction_goes_on_from_the_last_one(spark, tmp_path):
-    raw, log, spot, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "checkpoint"), str(tmp_path / "clean")
+    raw, log, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "clean")
     for number, (date, high) in enumerate([("2020-01-02", "1"), ("2020-01-03", "3"), ("2020-01-02", "2")]):
         land(raw, "a", day(date, [hour()]), date)
         folder = raw / "location=a" / "year=2020" / "month=01" / f"day={date[-2:]}"
         (folder / f"delivery{number}.json").write_text(json.dumps(day(date, [hour()], maxtempF=high)))
         (folder / f"{date.replace('-', '')}.json").unlink()
-        intake.stream_landing(spark, str(raw), log, spot)
+        intake.take_in(spark, str(raw), log)
         if number != 1:
             done = intake.compact_days(spark, log, base)
     assert clean_rows(landing.read_clean(spark, done)) == [("a", "2020-01-02", 2.0), ("a", "2020-01-03", 3.0)]
@@ -237,12 +239,79 @@ def test_compaction_goes_on_from_the_last_one(spark, tmp_path):
 
 
 def test_batch_run_again_leaves_rows_once(spark, tmp_path):
-    """A run that died before its position was stored starts over on the same files."""
+    """A run that died before its files were noted starts over under the same number."""
+    raw, log = tmp_path / "raw", tmp_path / "log"
+    land(raw, "a", day("2020-01-02", [hour()]), "2020-01-02")
+    assert intake.take_in(spark, str(raw), str(log)) == 0
+    for part in (log / "files" / "batch=0").iterdir():
+        part.unlink()
+    (log / "files" / "batch=0").rmdir()
+    assert intake.read_log(spark, str(log)).count() == 0
+    assert intake.take_in(spark, str(raw), str(log)) == 0
+    assert intake.read_log(spark, str(log)).count() == 1
+
+
+def test_file_overwritten_under_its_name_is_taken_again(spark, tmp_path):
+    raw, log, base = tmp_path / "raw", str(tmp_path / "log"), str(tmp_path / "clean")
+    for high in ("1", "22"):
+        land(raw, "a", day("2020-01-02", [hour()], maxtempF=high), "2020-01-02")
+        intake.take_in(spark, str(raw), log)
+        done = intake.compact_days(spark, log, base)
+    assert clean_rows(landing.read_clean(spark, done)) == [("a", "2020-01-02", 22.0)]
+
+
+def test_old_file_that_comes_late_is_taken(spark, tmp_path):
     raw, log = tmp_path / "raw", str(tmp_path / "log")
     land(raw, "a", day("2020-01-02", [hour()]), "2020-01-02")
-    for attempt in ("first", "second"):
-        intake.stream_landing(spark, str(raw), log, str(tmp_path / attempt))
-    assert intake.read_log(spark, log).count() == 1
+    intake.take_in(spark, str(raw), log)
+    land(raw, "a", day("2020-01-01", [hour()]), "2020-01-01")
+    past = time.time() - 300 * 86_400
+    os.utime(raw / "location=a" / "year=2020" / "month=01" / "day=01" / "20200101.json", (past, past))
+    intake.take_in(spark, str(raw), log)
+    assert [d for _, d, _ in clean_rows(intake.current_days(spark, log))] == ["2020-01-01", "2020-01-02"]
+
+
+def test_replies_without_a_day_are_kept_with_the_reason(spark, tmp_path):
+    raw, log = tmp_path / "raw", str(tmp_path / "log")
+    land(raw, "a", {"data": {"weather": [day("2020-01-01", [hour()])]}}, "2020-01-01", indent=2)
+    for number, text in enumerate(['{"date": "2020-01-02", "max', "", "{}", '{"weather": []}', '{"weather": [null]}', "[1]"]):
+        land(raw, f"l{number}", {}, "2020-01-02")
+        (raw / f"location=l{number}" / "year=2020" / "month=01" / "day=02" / "20200102.json").write_text(text)
+    lines = [json.dumps(day("2020-01-03", [hour()])), '{"date": "2020', json.dumps(day("2020-01-04", [hour()]))]
+    land(raw, "b", {}, "2020-01-03")
+    (raw / "location=b" / "year=2020" / "month=01" / "day=03" / "20200103.json").write_text("\n".join(lines) + "\n")
+    assert intake.take_in(spark, str(raw), log, files_per_batch=3) == 2
+    assert [(loc, d) for loc, d, _ in clean_rows(intake.current_days(spark, log))] == [
+        ("a", "2020-01-01"), ("b", "2020-01-03"), ("b", "2020-01-04"),
+    ]
+    found = {r.location: r.reason for r in intake.rejected_documents(spark, log).collect()}
+    broken, empty = "not a JSON document", "no day in it"
+    assert found == {"l0": broken, "l1": "empty file", "l2": empty, "l3": empty, "l4": empty, "l5": broken, "b": broken}
+    with pytest.raises(ValueError, match="not a JSON|no day|empty"):
+        jobs.clean_weather(spark, str(raw), str(tmp_path / "clean"))
+    jobs.clean_weather(spark, str(raw), str(tmp_path / "clean"), rejects=str(tmp_path / "rejects"))
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 7
+
+
+def test_clean_job_takes_the_newest_of_a_day(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "clean")
+    land(raw, "a", day("2020-01-02", [hour()], maxtempF="1"), "2020-01-02")
+    folder = raw / "location=a" / "year=2020" / "month=01" / "day=02"
+    (folder / "again.json").write_text(json.dumps(day("2020-01-02", [hour()], maxtempF="2")))
+    later = time.time() + 60
+    os.utime(folder / "again.json", (later, later))
+    jobs.clean_weather(spark, str(raw), out)
+    assert clean_rows(landing.read_clean(spark, out)) == [("a", "2020-01-02", 2.0)]
+
+
+def test_register_leaves_other_tables_alone(spark, tmp_path):
+    for name in ("one", "two"):
+        spark.range(2).write.parquet(str(tmp_path / name))
+    tables.register(spark, "registered_twice", str(tmp_path / "one"))
+    assert tables.register(spark, "registered_twice", str(tmp_path / "one")).count() == 2
+    with pytest.raises(ValueError, match="another folder"):
+        tables.register(spark, "registered_twice", str(tmp_path / "two"))
+    spark.sql("DROP TABLE registered_twice")
 
 
 def test_newest_is_ranked_before_the_shuffle(spark, tmp_path):
