@@ -17,7 +17,7 @@ from martlake.operators.weather import clean_days, latest_per_day, normalise_day
 from martlake.plans import snapshots, star
 from martlake.session import build_session
 from martlake.sources.extract import export_extract, read_extract
-from martlake.sources.landing import accepted, empty_files, list_files, read_landing, rejected, write_clean
+from martlake.sources.landing import accepted, read_landing, rejected, write_clean
 from martlake.sources.publish import publish, published_paths
 from martlake.sources.tables import table_folder, write_fact
 from martlake.streaming.intake import DAY_KEYS
@@ -128,13 +128,12 @@ def clean_weather(
     ``catalog`` the name of a table registered over it. Documents without a day are written to ``rejects``; without
     that folder they stop the job, after all days are written.
     """
-    root = table_folder(spark, raw) if catalog else raw
-    documents = read_landing(spark, root)
+    documents = read_landing(spark, table_folder(spark, raw) if catalog else raw)
     days = clean_days(normalise_days(accepted(documents)))
     tie = F.xxhash64(*[F.col(c) for c in schemas.CLEAN_DAY.fieldNames()])
     newest = [F.col("source_time").desc(), F.col("source_file").desc(), tie]
     write_clean(latest_per_day(days, DAY_KEYS, newest).select(*schemas.CLEAN_DAY.fieldNames()), out, mode)
-    left = rejected(documents).unionByName(empty_files(list_files(spark, root)))
+    left = rejected(documents)
     if rejects:
         left.write.mode("overwrite").parquet(rejects)
     elif (row := left.first()) is not None:

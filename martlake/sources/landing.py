@@ -67,21 +67,16 @@ def rejected(documents: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, time and size of every landing file; contents are not read."""
+    """Path, time and size of every landing file; contents are not read.
+
+    A file without a byte is not listed by Spark; it counts as not yet delivered until it holds something.
+    """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return found.select(
         F.col("path").alias("source_file"), F.col("modificationTime").alias("source_time"), F.col("length").alias("source_size")
     )
 
 
-def empty_files(files: DataFrame) -> DataFrame:
-    """Listed files of no bytes, which no reader returns a row for, as rejected documents."""
-    keys = [F.regexp_extract("source_file", f"/{key}=([^/]*)/", 1).alias(key) for key in schemas.LANDING_KEYS]
-    return files.filter("source_size = 0").select(
-        *keys, *SOURCE, F.lit("empty file").alias("reason"), F.lit("").alias("text")
-    )
-
-
 def write_landing(days: DataFrame, root: str, mode: str = "append") -> str:
     """Raw days as JSON in day folders; month and day values are zero-padded text."""
     keys = schemas.LANDING_KEYS

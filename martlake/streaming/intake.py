@@ -22,7 +22,6 @@ from martlake.operators.weather import clean_days, latest_per_day, normalise_day
 from martlake.sources.landing import (
     SOURCE,
     accepted,
-    empty_files,
     list_files,
     read_clean,
     read_landing,
@@ -98,7 +97,7 @@ def take_in(spark: SparkSession, root: str, log: str, files_per_batch: int = 100
         days = clean_days(normalise_days(accepted(documents)))
         wanted = [f.name for f in LOG.fields if f.name != "batch"]
         days.select(*wanted).write.mode("overwrite").parquet(f"{log}/days/batch={batch}")
-        rejected(documents).unionByName(empty_files(waiting)).write.mode("overwrite").parquet(f"{log}/rejected/batch={batch}")
+        rejected(documents).write.mode("overwrite").parquet(f"{log}/rejected/batch={batch}")
         # As listed before the reading: a file that changed meanwhile is still waiting.
         waiting.write.mode("overwrite").parquet(f"{log}/files/batch={batch}")
 
