@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake import schemas
@@ -89,3 +89,75 @@ def check_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         found["film.rating"] = check_enum(tables["film"], "rating", schemas.RATINGS)
         found["film.release_year"] = check_range(tables["film"], "release_year", *schemas.YEAR_RANGE)
     return found
+
+
+def _text_key(columns: list[str]) -> Column:
+    """Several key columns as one text; NULL if any is, since such keys neither collide nor point anywhere."""
+    return F.when(~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]), F.to_json(F.struct(*columns)))
+
+
+def _marks(name: str, df: DataFrame, tables: dict[str, DataFrame]) -> tuple[list[Column], list[str]]:
+    """What each row of a table says on the declared rules, and the rules that lack a column or table."""
+    marks, absent = [], []
+
+    def mark(rule: str, key: Column, child: int, parent: int) -> None:
+        marks.append(F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")))
+
+    def lacking(rule: str, wanted: dict[str, list[str]]) -> bool:
+        missing = any(t not in tables or set(columns) - set(tables[t].columns) for t, columns in wanted.items())
+        if missing:
+            absent.append(rule)
+        return missing
+
+    for field in schemas.OLTP[name].fields:
+        rule = f"{name}.not_null({field.name})"
+        if not field.nullable and not lacking(rule, {name: [field.name]}):
+            mark(rule, F.when(F.col(field.name).isNull(), F.lit("")), 1, 0)
+    keys = ([schemas.PRIMARY_KEYS[name]] if name in schemas.PRIMARY_KEYS else []) + schemas.UNIQUE_KEYS.get(name, [])
+    for columns in keys:
+        rule = f"{name}.unique({','.join(columns)})"
+        if not lacking(rule, {name: columns}):
+            mark(rule, _text_key(columns), 1, 0)
+    for child, column, parent, key in schemas.FOREIGN_KEYS:
+        rule = f"{child}.fk({column})"
+        if child == name and not lacking(rule, {child: [column], parent: [key]}):
+            mark(rule, F.col(column).cast("string"), 1, 0)
+        if parent == name and child in tables and column in tables[child].columns and key in df.columns:
+            mark(rule, F.col(key).cast("string"), 0, 1)
+    if name == "film":
+        bad = {
+            "rating": ~F.col("rating").isin(schemas.RATINGS),
+            "release_year": ~F.col("release_year").between(*schemas.YEAR_RANGE),
+        }
+        for column, test in bad.items():
+            if not lacking(f"film.{column}", {name: [column]}):
+                mark(f"film.{column}", F.when(test, F.lit("")), 1, 0)
+    return marks, absent
+
+
+def audit(tables: dict[str, DataFrame]) -> DataFrame:
+    """Violations of every declared constraint of the given tables: (rule, violations), NULL where a rule lacks
+    its column or its parent table.
+
+    Each table is read once. Its rows are turned into marks (rule, key), which are counted by rule and key with
+    partial sums, so a hot key travels as one row per task: a unique key is violated where it is counted twice, a
+    foreign key where no parent has marked it, any other rule by each mark.
+    """
+    parts, absent = [], []
+    for name, df in tables.items():
+        marks, lacking = _marks(name, df, tables)
+        absent += lacking
+        if marks:
+            found = df.select(F.explode(F.array(*marks)).alias("m")).select("m.*")
+            parts.append(found.filter(F.col("key").isNotNull()))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
+        F.sum("child").alias("child"), F.max("parent").alias("parent")
+    )
+    broken = (
+        F.when(F.col("rule").contains(".unique("), (F.col("child") > 1).cast("long"))
+        .when(F.col("rule").contains(".fk("), F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
+        .otherwise(F.col("child"))
+    )
+    totals = counted.groupBy("rule").agg(F.sum(broken).alias("violations"))
+    spark = totals.sparkSession
+    return totals.unionByName(spark.createDataFrame([(r, None) for r in sorted(set(absent))], "rule STRING, violations BIGINT"))

@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake import schemas
-from martlake.operators.quality import check_null, check_unique
+from martlake.operators.quality import check_length, check_null, check_unique
 from martlake.operators.upsert import delete_insert, insert_absent, upsert_update
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
 from martlake.plans import snapshots, star
 from martlake.session import build_session
 from martlake.sources.extract import export_extract, read_extract
 from martlake.sources.landing import accepted, read_landing, rejected, write_clean
-from martlake.sources.publish import publish, published_paths
-from martlake.sources.tables import table_folder, write_fact
+from martlake.sources.publish import publish, published_folders, read_folders
+from martlake.sources.tables import MONTH, table_folder, write_fact_months
 from martlake.streaming.intake import DAY_KEYS
 
 Tables = dict[str, DataFrame]
@@ -84,38 +84,73 @@ def first_load(stage: Tables, target: Tables | None = None) -> Tables:
 
 
 def star_checks() -> dict:
-    """Keys of the dimensions are filled and unique; key columns of the facts are filled."""
+    """Keys of the dimensions are filled and unique, texts fit; key columns of the facts are filled."""
     rules = {}
     for name, keys in schemas.STAR_KEYS.items():
         rules[name] = [lambda df, k=keys: check_null(df, k)]
         if name != "sales_facts":
             rules[name].append(lambda df, k=keys: check_unique(df, k))
+        if name in schemas.STAR_LENGTHS:
+            rules[name].append(lambda df, n=schemas.STAR_LENGTHS[name]: check_length(df, n))
     return rules
 
 
-def publish_star(spark: SparkSession, tables: Tables, base: str, run_id: str) -> dict[str, str]:
-    """All five tables become visible together, or none."""
-    return publish(spark, tables, base, run_id, star_checks(), {"sales_facts": write_fact})
+def _reports(written: Tables) -> Tables:
+    star = {name: df.drop(MONTH) for name, df in written.items()}
+    return {name: make(star) for name, make in snapshots.SNAPSHOTS.items()}
+
+
+def publish_star(
+    spark: SparkSession, tables: Tables, base: str, run_id: str, kept: list[str] | None = None, reports: bool = False
+) -> None:
+    """All five tables, and with ``reports`` the stored reports on them, become visible together, or none.
+
+    ``kept`` are folders of months of facts that stay as they are.
+    """
+    writers = {"sales_facts": write_fact_months}
+    publish(
+        spark, tables, base, run_id, star_checks(), writers, {"sales_facts": kept or []}, _reports if reports else None
+    )
 
 
 def published_star(spark: SparkSession, base: str) -> Tables | None:
-    paths = published_paths(spark, base)
-    return {name: spark.read.parquet(paths[name]) for name in schemas.STAR} if paths else None
+    found = published_folders(spark, base)
+    if not found:
+        return None
+    return {name: read_folders(spark, base, name, found[name][1]).drop(MONTH) for name in schemas.STAR}
 
 
 def run_elt(spark: SparkSession, oltp: Tables, base: str, run_id: str, **dates) -> Tables:
-    """Load the star from the rental tables, publish it, and refresh the stored reports."""
-    publish_star(spark, elt(spark, oltp, published_star(spark, base), **dates), base, run_id)
-    tables = published_star(spark, base)
-    snapshots.refresh_all(spark, tables, f"{base}/_reports", run_id)
-    return tables
+    """Load the star from the rental tables and publish it together with the stored reports.
+
+    A run that fails, in a report too, has published nothing and can be run again under its id.
+    """
+    publish_star(spark, elt(spark, oltp, published_star(spark, base), **dates), base, run_id, reports=True)
+    return published_star(spark, base)
 
 
 def run_warehouse_load(spark: SparkSession, extracts: str, base: str, run_id: str, layout: dict | None = None) -> Tables:
-    """Load the extracts into the published warehouse, or start it with them."""
+    """Load the extracts into the published warehouse, or start it with them.
+
+    Only the months that the staged facts touch are read and written again; the others stay by reference.
+    """
     stage = read_stage(spark, extracts, layout)
     target = published_star(spark, base)
-    publish_star(spark, first_load(stage) if target is None else load_warehouse(stage, target), base, run_id)
+    if target is None:
+        publish_star(spark, first_load(stage), base, run_id)
+        return published_star(spark, base)
+    # one row per month
+    months = {r["m"] for r in stage["sales_facts"].select(F.expr("date_id div 100").cast("string").alias("m")).distinct().collect()}
+    folders = published_folders(spark, base)["sales_facts"][1]
+    touched = [f for f in folders if any(f.endswith(f"/{MONTH}={m}") for m in months)]
+    # Facts without a date, or written without months, are not told apart by folder and are loaded again.
+    touched += [f for f in folders if f not in touched and not f.rsplit(f"/{MONTH}=", 1)[-1].isdigit()]
+    facts = target["sales_facts"].schema
+    target["sales_facts"] = (
+        read_folders(spark, base, "sales_facts", touched).drop(MONTH) if touched else spark.createDataFrame([], facts)
+    )
+    kept = [f for f in folders if f not in touched]
+    publish_star(spark, load_warehouse(stage, target), base, run_id, kept)
     return published_star(spark, base)
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from martlake.sources.files import delete
+
 # Runtime settings the pipelines count on. Calendar parts follow the session zone, so it is
 # pinned; AQE splits hot join keys even where that costs one more exchange.
 RUNTIME = {
@@ -68,5 +70,4 @@ def drop_scratch(spark: SparkSession) -> None:
     To be called when no DataFrame that reads from it is used any more: after results are stored or
     collected, or at the end of the application.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, scratch_dir(spark))

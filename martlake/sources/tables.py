@@ -10,6 +10,7 @@ from martlake.operators.quality import check_bounds
 from martlake.schemas import PAYMENT_RANGE
 
 ROWS_PER_FILE = 20_000_000
+MONTH = "fact_month"
 
 
 def read_table(
@@ -120,6 +121,18 @@ def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_fact_months(df: DataFrame, path: str) -> str:
+    """Facts as ``write_fact`` lays them out, in a folder per month, so that a load can replace the months it touches."""
+    month = F.expr("date_id div 100").cast("string")
+    (
+        df.withColumn(MONTH, month)
+        .repartitionByRange("date_id", "film_id", "customer_id", "staff_id")
+        .sortWithinPartitions("date_id", "film_id")
+        .write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
+    )
+    return path
+
+
 def write_bucketed_fact(df: DataFrame, name: str, path: str, buckets: int) -> None:
     """Facts bucketed by day for joins on the day without a shuffle; for data without a hot day."""
     (

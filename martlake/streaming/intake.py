@@ -20,15 +20,15 @@ from pyspark.sql import types as T
 from martlake import schemas
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
 from martlake.sources.landing import (
+    CLEAN_PARTITIONS,
     SOURCE,
     accepted,
     list_files,
-    read_clean,
     read_landing,
     rejected,
     write_clean,
 )
-from martlake.sources.publish import publish, published_path
+from martlake.sources.publish import publish, published_folders, published_run, read_folders, read_published
 
 TABLE = "cleanweather"
 
@@ -119,10 +119,20 @@ def newest_of(deliveries: DataFrame) -> DataFrame:
     return latest_per_day(deliveries, DAY_KEYS, newest).select(*schemas.CLEAN_DAY.fieldNames())
 
 
-def _compacted(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
-    """The last compacted version and the last batch in it."""
-    path = published_path(spark, base, TABLE)
-    return (None, -1) if path is None else (read_clean(spark, path), int(path.rsplit("-", 1)[1]))
+def compacted_batch(spark: SparkSession, base: str) -> int:
+    """The last batch in the published days, or -1; a version is named after it."""
+    run = published_run(spark, base, TABLE)
+    return -1 if run is None else int(run.rsplit("-", 1)[1])
+
+
+def read_compacted(spark: SparkSession, base: str) -> DataFrame:
+    return read_published(spark, base, TABLE, schemas.CLEAN_DAY)
+
+
+def _merged(done: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Fresh days, and those of before that did not come again."""
+    same = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in DAY_KEYS])
+    return done.alias("old").join(fresh.select(*DAY_KEYS).alias("new"), same, "left_anti").unionByName(fresh)
 
 
 def current_days(spark: SparkSession, log: str, base: str | None = None) -> DataFrame:
@@ -130,23 +140,28 @@ def current_days(spark: SparkSession, log: str, base: str | None = None) -> Data
 
     With ``base`` only the batches after the last compaction are read from the log.
     """
-    done, last = _compacted(spark, base) if base else (None, -1)
+    last = compacted_batch(spark, base) if base else -1
     fresh = newest_of(read_log(spark, log).filter(F.col("batch") > last))
-    if done is None:
-        return fresh
-    same = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in DAY_KEYS])
-    return done.alias("old").join(fresh.select(*DAY_KEYS).alias("new"), same, "left_anti").unionByName(fresh)
+    return fresh if last < 0 else _merged(read_compacted(spark, base), fresh)
 
 
-def compact_days(spark: SparkSession, log: str, base: str) -> str | None:
+def compact_days(spark: SparkSession, log: str, base: str) -> DataFrame | None:
     """Publish the current days as a new version of the clean table, in month folders.
 
-    The version is named after the last batch it holds. Returns its folder, or that of
-    the version in force if no batch came since.
+    Only the folders that the batches since the last compaction touch are written again; the others stay by
+    reference. The version is named after the last batch it holds. Returns the days, or None before the first.
     """
-    _, last = _compacted(spark, base)
-    newest = last_batch(spark, log)
-    if newest <= last:
-        return published_path(spark, base, TABLE)
-    days = current_days(spark, log, base)
-    return publish(spark, {TABLE: days}, base, f"batch-{newest:012d}", writers={TABLE: write_clean})[TABLE]
+    last, newest = compacted_batch(spark, base), last_batch(spark, log)
+    if newest > last:
+        days, kept = newest_of(read_log(spark, log).filter(F.col("batch") > last)), []
+        if last >= 0:
+            # one row per folder
+            rows = days.select(*CLEAN_PARTITIONS).distinct().collect()
+            touched = {"/".join(f"{k}={r[k]}" for k in CLEAN_PARTITIONS) for r in rows}
+            folders = published_folders(spark, base)[TABLE][1]
+            again = [f for f in folders if "/".join(f.split("/")[-len(CLEAN_PARTITIONS):]) in touched]
+            kept = [f for f in folders if f not in again]
+            if again:
+                days = _merged(read_folders(spark, base, TABLE, again, schemas.CLEAN_DAY), days)
+        publish(spark, {TABLE: days}, base, f"batch-{newest:012d}", writers={TABLE: write_clean}, kept={TABLE: kept})
+    return read_compacted(spark, base) if newest >= 0 else None

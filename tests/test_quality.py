@@ -94,6 +94,23 @@ def test_all_declared_constraints(spark):
     assert merged.collect() == []
 
 
+def test_audit_counts_what_the_checks_list(spark):
+    tables = _valid(spark)
+    assert [tuple(r) for r in quality.audit(tables).filter("violations <> 0").collect()] == []
+    film = tables["film"]
+    tables["film"] = film.unionByName(film.withColumn("rating", F.lit("X")).withColumn("release_year", F.lit(1900)))
+    tables["inventory"] = tables["inventory"].unionByName(tables["inventory"]).withColumn("store_id", F.lit(9))
+    tables["rental"] = tables["rental"].withColumn("rental_date", F.lit(None).cast("timestamp"))
+    del tables["language"]
+    tables["actor"] = tables["actor"].drop("last_name")
+    found = {r.rule: r.violations for r in quality.audit(tables).filter("violations IS NULL OR violations <> 0").collect()}
+    assert found == {
+        "film.unique(film_id)": 1, "film.rating": 1, "film.release_year": 1, "inventory.fk(store_id)": 2,
+        "inventory.unique(inventory_id)": 1, "rental.not_null(rental_date)": 1, "film.fk(language_id)": None,
+        "film.fk(original_language_id)": None, "actor.not_null(last_name)": None,
+    }
+
+
 def test_broken_rows_are_named(spark):
     tables = _valid(spark)
     film = tables["film"]

@@ -2,6 +2,7 @@ import datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from martlake import schemas
 from martlake.operators import textindex
@@ -112,7 +113,7 @@ def test_publish_all_or_nothing(spark, tmp_path):
 
 
 def test_nothing_published_yet(spark, tmp_path):
-    assert publish.published_path(spark, str(tmp_path), "a") is None
+    assert publish.published_run(spark, str(tmp_path), "a") is None
     with pytest.raises(LookupError):
         publish.read_published(spark, str(tmp_path), "a")
 
@@ -150,7 +151,7 @@ def test_elt_updates_dimensions_and_rebuilds_facts(spark, tmp_path):
     assert rows(star["film_dim"]) == [(1, "Beta, 2", 2000, "G")]
     assert star["date_dim"].count() == 15
     assert star["sales_facts"].count() == 2
-    stored = snapshots.snapshot(spark, "weekly_rating_sales", f"{base}/_reports")
+    stored = snapshots.snapshot(spark, "weekly_rating_sales", base)
     assert {r.sales for r in stored.collect()} == {D("5.00")}
 
 
@@ -174,6 +175,93 @@ def test_failed_load_raises_and_publishes_nothing(spark, tmp_path):
     assert jobs.published_star(spark, base) is None
 
 
+def folders(spark, base, name):
+    return publish.published_folders(spark, base)[name][1]
+
+
+def test_untouched_months_keep_their_files(spark, tmp_path):
+    base, files = str(tmp_path / "star"), str(tmp_path / "files")
+    march = (1, 1, 1, D("9.00"), datetime.datetime(2020, 3, 7, 12))
+    jobs.export(spark, shop(spark, extra=[march]), files, "2020-01-01", 100)
+    jobs.run_warehouse_load(spark, files, base, "run-1")
+    before = folders(spark, base, "sales_facts")
+    changed = shop(spark)
+    changed["payment"] = changed["payment"].withColumn("amount", F.lit(D("7.00")).cast("decimal(5,2)"))
+    jobs.export(spark, changed, files, "2020-01-01", 100)
+    star = jobs.run_warehouse_load(spark, files, base, "run-2")
+    assert rows(star["sales_facts"].select("date_id", "amount")) == [(20200106, D("7.00")), (20200307, D("9.00"))]
+    after = folders(spark, base, "sales_facts")
+    assert [f for f in after if f in before] == [f for f in before if f.endswith("=202003")]
+    dropped = publish.drop_old_versions(spark, base)
+    assert [f for f in before if f.endswith("=202001")] == [f for f in dropped if "sales_facts" in f]
+    assert rows(jobs.published_star(spark, base)["sales_facts"]) == rows(star["sales_facts"])
+    with pytest.raises(ValueError, match="already published"):
+        jobs.run_warehouse_load(spark, files, base, "run-2")
+
+
+def test_elt_can_be_run_again_after_a_failed_report(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "star")
+    jobs.run_elt(spark, shop(spark), base, "run-1", start="2020-01-01", days=10)
+
+    def fails(star):
+        raise RuntimeError("no report today")
+
+    later = (1, 1, 1, D("3.00"), datetime.datetime(2020, 1, 7, 12))
+    with monkeypatch.context() as patch:
+        patch.setitem(snapshots.SNAPSHOTS, "weekly_rating_sales", fails)
+        with pytest.raises(RuntimeError):
+            jobs.run_elt(spark, shop(spark, extra=[later]), base, "run-2", start="2020-01-01", days=10)
+    assert jobs.published_star(spark, base)["sales_facts"].count() == 1
+    jobs.run_elt(spark, shop(spark, extra=[later]), base, "run-2", start="2020-01-01", days=10)
+    assert {r.sales for r in snapshots.snapshot(spark, "weekly_rating_sales", base).collect()} == {D("5.00")}
+
+
+def test_second_publisher_of_a_run_id_fails(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "out")
+    publish.publish(spark, {"a": spark.range(3)}, base, "run-1")
+    monkeypatch.setattr(publish, "_manifest", lambda spark, base: None)  # it looked before the first was done
+    with pytest.raises(ValueError, match="already published"):
+        publish.publish(spark, {"a": spark.range(4)}, base, "run-1")
+
+
+def test_long_texts_stop_a_load(spark, tmp_path):
+    with pytest.raises(publish.CheckFailed):
+        jobs.run_elt(spark, shop(spark, "é" * 200), str(tmp_path / "star"), "run-1", start="2020-01-01", days=10)
+
+
+def test_extract_is_sorted_across_files(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id % 7 AS a", "-id AS b").repartition(5)
+    path = tmp_path / "sorted"
+    extract.export_extract(df, str(path), ["a", "b"])
+    lines = [line for part in sorted(path.glob("part-*")) for line in part.read_text().splitlines()]
+    found = [tuple(map(int, line.split(","))) for line in lines]
+    assert len(found) == 5000 and found == sorted(found)
+
+
+@pytest.mark.parametrize("job", ["elt", "export", "load", "weather"])
+def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch, job):
+    monkeypatch.setattr(jobs, "build_session", lambda app: spark)
+    tables, base, files = str(tmp_path / "tables"), str(tmp_path / "out"), str(tmp_path / "files")
+    for name, df in shop(spark).items():
+        df.write.parquet(f"{tables}/{name}")
+    dates = ["--start", "2020-01-01", "--days", "10"]
+    if job == "elt":
+        jobs.main(["elt", "--tables", tables, *dates, "--base", base, "--run-id", "run-1"])
+        assert jobs.published_star(spark, base)["date_dim"].count() == 11
+    elif job in ("export", "load"):
+        jobs.main(["export", "--tables", tables, *dates, "--base", files])
+        assert spark.read.csv(f"{files}/films").count() == 1
+        if job == "load":
+            jobs.main(["load", "--extracts", files, "--base", base, "--run-id", "run-1"])
+            assert jobs.published_star(spark, base)["sales_facts"].count() == 1
+    else:
+        folder = tmp_path / "raw" / "location=a" / "year=2020" / "month=01" / "day=02"
+        folder.mkdir(parents=True)
+        (folder / "20200102.json").write_text('{"date": "2020-01-02", "maxtempF": "4", "hourly": []}')
+        jobs.main(["weather", "--raw", str(tmp_path / "raw"), "--out", base])
+        assert [r.maxtempF for r in spark.read.parquet(base).collect()] == [4.0]
+
+
 def test_first_load_appends(spark):
     stage = {name: spark.createDataFrame([], schema) for name, schema in schemas.STAR.items()}
     stage["staff_dim"] = spark.createDataFrame([(1, "a", "b")], schemas.STAR["staff_dim"])
