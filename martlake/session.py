@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,20 +37,13 @@ def build_session(app: str = "martlake", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of its own.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset a folder of the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="martlake-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
