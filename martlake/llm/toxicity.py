@@ -3,11 +3,12 @@
 One dictionary is trained on toxic text, one on ordinary text, from a bounded sample of labelled rows (`DOCS` texts
 per class, the first `BYTES` bytes of each, those with the smallest hash of the id). Toxic texts are mostly ordinary prose,
 so the toxic dictionary is trained on the parts of them that hold byte strings far more common there than in
-ordinary texts. Every whole text is lower-cased and cut into windows of `WINDOW` words; each window is compressed
-with either dictionary, and the bytes that the toxic one saves are its evidence. A text's features are its largest
-savings, the number and share of windows that save more than ordinary windows do, and its mean saving; a logistic curve
-fitted on labelled texts that the dictionaries have not seen turns them into a score, moved so that at most
-`FALSE_ALARMS` of the ordinary ones reach one half.
+ordinary texts. Every whole text is lower-cased and cut into windows of `WINDOW` words, `STRIDE` words apart; each
+window is compressed with either dictionary, and the bytes that the toxic one saves are its evidence. A text's
+features are its largest savings, the number and share of windows that save more than ordinary windows do, its
+mean saving, and the number of windows, since the largest of many is large by chance; a logistic curve fitted on
+labelled texts that the dictionaries have not seen turns them into a score, moved so that at most `FALSE_ALARMS` of
+the ordinary ones reach one half.
 
 Labels, language, source and id are not read when a text is scored. Defined cases: null and empty texts have no
 windows and get the score of a text without evidence; an id that is labelled several times counts as toxic if any
@@ -30,7 +31,8 @@ from pyspark.sql import types as T
 from martlake.llm.common import unused
 from martlake.llm.textbytes import LOWER, pieces
 
-WINDOW = 6
+#: Words of a window, and from the start of one to the next.
+WINDOW, STRIDE = 6, 3
 #: Bounds of the sample that dictionaries and curve are fitted on.
 DOCS, BYTES = 3000, 4000
 #: Sizes of the dictionaries' own content, and the compression level.
@@ -58,7 +60,8 @@ def spaced(text: bytes) -> bytes:
 
 def windows(text: bytes) -> list[bytes]:
     words = text.split()
-    return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)]
+    starts = range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE) if words else ()
+    return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in starts]
 
 
 class Lengths:
@@ -83,12 +86,12 @@ class Lengths:
 
 
 def features(saved: np.ndarray, chance: float) -> np.ndarray:
-    out = np.zeros(BEST + 3)
+    out = np.zeros(BEST + 4)
     if len(saved):
         best = np.maximum(np.sort(saved)[::-1][:BEST], 0)
         out[: len(best)] = best / 8
         over = saved > chance
-        out[BEST:] = np.log1p(over.sum()), over.mean() * 8, saved.mean()
+        out[BEST:] = np.log1p(over.sum()), over.mean() * 8, saved.mean(), np.log1p(len(saved)) / 4
     return out
 
 
