@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +52,22 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow or mapInPandas that leaves its worker, which Spark keeps for later tasks, small."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def unused(df: DataFrame, mark: str = "_") -> str:
     """A prefix that no column of the table begins with."""
     while any(c.lower().startswith(mark) for c in df.columns):

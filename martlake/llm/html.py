@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlake.llm.common import lean
+
 TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.DOTALL
 )
@@ -247,4 +249,4 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             )
 
     read = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return read.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return read.mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")

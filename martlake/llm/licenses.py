@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlake.llm.common import lean
 from martlake.llm.textbytes import ALNUM, LOWER, Words, find_words, hash_words, pieces
 
 #: The phrases that must be found in place, and their labels.
@@ -108,7 +109,7 @@ def word_counts(docs: DataFrame, templates: tuple[tuple[str, str], ...], text_co
         names = [w.decode() for w in vocabulary.words]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], names=["word", "n"])
 
-    partial = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long")
+    partial = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(run), "word string, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -258,4 +259,4 @@ def license_scan(
             yield pa.RecordBatch.from_arrays([batch.column(0), *scan_texts(batch.column(1), join)], names=names)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, RESULT)
+    return read.mapInArrow(lean(run), RESULT)

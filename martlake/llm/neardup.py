@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import small, stored
+from martlake.llm.common import lean, small, stored
 from martlake.llm.graph import components, renamed
 from martlake.llm.textbytes import (
     LOWER,
@@ -130,7 +130,7 @@ def signatures(docs: DataFrame, percent: int, id_col: str = "doc_id", text_col:
             )
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return read.mapInArrow(run, SIGNATURES)
+    return read.mapInArrow(lean(run), SIGNATURES)
 
 
 def lists(rows: np.ndarray) -> pa.Array:
@@ -174,7 +174,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             )
 
     joined = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return stored(joined.mapInArrow(run, "a long, b long"), "neardup-links")
+    return stored(joined.mapInArrow(lean(run), "a long, b long"), "neardup-links")
 
 
 def labelled(table: DataFrame, column: str, name: str, labels: DataFrame) -> DataFrame:
@@ -240,7 +240,7 @@ def likely(members: DataFrame, percent: int) -> DataFrame:
 
     schema = "bucket long, block_a int, block_b int, node long, label long, own int"
     columns = [*BLOCK_PAIR, "node", "label", "own", "n", "sketch"]
-    return in_blocks(members.select(*columns)).mapInPandas(run, schema)
+    return in_blocks(members.select(*columns)).mapInPandas(lean(run), schema)
 
 
 def forest(members: DataFrame, percent: int) -> DataFrame:
@@ -269,7 +269,7 @@ def forest(members: DataFrame, percent: int) -> DataFrame:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
     columns = [*BLOCK_PAIR, "node", "label", "own", "text"]
-    return in_blocks(members.select(*columns)).mapInPandas(run, "a long, b long")
+    return in_blocks(members.select(*columns)).mapInPandas(lean(run), "a long, b long")
 
 
 def links_of(classes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:

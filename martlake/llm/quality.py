@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.llm.common import small, stored, unused
+from martlake.llm.common import lean, small, stored, unused
 from martlake.llm.textbytes import (
     NOT_SPACE,
     count_code_points,
@@ -122,7 +122,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col)
     )
-    return read.mapInArrow(run, FEATURES)
+    return read.mapInArrow(lean(run), FEATURES)
 
 
 def base_failed(mark: str = "") -> Column:
@@ -231,7 +231,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
             )
 
     schema = T.StructType([*docs.schema.fields, *[T.StructField(mark + c, T.LongType()) for c in COUNTS]])
-    k, t = docs.mapInArrow(run, schema).alias("k"), limits.alias("t")
+    k, t = docs.mapInArrow(lean(run), schema).alias("k"), limits.alias("t")
     joined = k.join(t, F.col("k.lang").cast("string").eqNullSafe(F.col("t.stratum")), "left")
     rejected = base_failed(mark)
     for name, a, b in RULES:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 ODD = np.uint64(0x9E3779B97F4A7C13)
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 CODES = np.random.default_rng(20240601).integers(1, 1 << 64, size=256, dtype=np.uint64)

@@ -27,8 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from martlake.llm.common import lean
+
 #: The limits that bound a task's memory.
-WORDS, WORD_BYTES, TOKENS, REMEMBER = 20_000, 400_000, 1_000_000, 1_000_000
+WORDS, WORD_BYTES, TOKENS, REMEMBER = 20_000, 400_000, 500_000, 400_000
 #: Words of more bytes than this go to the second query.
 LONG = 64
 
@@ -119,7 +121,7 @@ class Codec:
                     self.ranks[base64.b64decode(token)] = int(rank)
         self.pattern = regex.compile(pattern)
         self.words: dict[str, bytes] = {}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         self.db.execute("SET preserve_insertion_order = false")
         self._load()
 
@@ -225,7 +227,7 @@ _codecs: dict[tuple[str, str], Codec] = {}
 
 
 def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec; a reused worker keeps its tables and the words it has met."""
+    """The worker's codec; a reused worker keeps its tables."""
     if (path, pattern) not in _codecs:
         _codecs[path, pattern] = Codec(path, pattern)
     return _codecs[path, pattern]
@@ -260,9 +262,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
                 arrays = [batch.column(k).slice(i, j - i) for k in range(len(keep))]
                 arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(bpe.decode(ids), pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "ids", "decoded"])
+        bpe.words.clear()
 
     schema = T.StructType([*[docs.schema[c] for c in keep], *added])
-    return docs.select(*keep, text_col).mapInArrow(run, schema)
+    return docs.select(*keep, text_col).mapInArrow(lean(run), schema)
 
 
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -286,6 +289,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums), pa.array(back)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        bpe.words.clear()
 
     read = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
-    return read.mapInArrow(run, f"doc_id long, {DIGEST}")
+    return read.mapInArrow(lean(run), f"doc_id long, {DIGEST}")

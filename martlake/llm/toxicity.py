@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.llm.common import unused
+from martlake.llm.common import lean, unused
 from martlake.llm.textbytes import LOWER, pieces
 
 #: Words of a window, and from the start of one to the next.
@@ -232,7 +232,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str
                 [*batch.columns, pa.array(score_texts(texts, model, lengths))], names=[*batch.schema.names, name]
             )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

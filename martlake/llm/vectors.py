@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import small, stored
+from martlake.llm.common import lean, small, stored
 
 WORDS, SAMPLE, ROUNDS = 16, 20_000, 12
 PROBE = 0.7
@@ -166,7 +166,7 @@ def nearest(
 
     kind = fine.schema["v"].dataType.simpleString()
     entries = stored(
-        classes(fine.select("id", "v"), k).mapInPandas(enter, f"ids array<long>, v {kind}, key long, cell int"), "ann-entries"
+        classes(fine.select("id", "v"), k).mapInPandas(lean(enter), f"ids array<long>, v {kind}, key long, cell int"), "ann-entries"
     )
     # One row per pair of centroids at most.
     index.sizes = {r["cell"]: r["count"] for r in entries.groupBy("cell").count().collect()}
@@ -179,7 +179,7 @@ def nearest(
             yield rows.explode("cell").astype({"cell": "int32"})[["id", "v", "cell"]]
 
     visits = stored(
-        fine.filter("asks").select("id", "v").distinct().mapInPandas(ask, f"id long, v {kind}, cell int"), "ann-visits"
+        fine.filter("asks").select("id", "v").distinct().mapInPandas(lean(ask), f"id long, v {kind}, cell int"), "ann-visits"
     )
     asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
     cuts = spark.createDataFrame(
