@@ -65,10 +65,10 @@ def export(spark: SparkSession, oltp: Tables, base: str, start: str = "2010-01-0
     return {name: export_extract(tables[table], f"{base}/{name}", order) for name, table, order in EXTRACTS}
 
 
-def read_stage(spark: SparkSession, base: str, layout: dict | None = None) -> Tables:
-    """The extracts as staging tables, typed like their targets."""
+def read_stage(spark: SparkSession, base: str, layout: dict | None = None, multiline: bool | None = None) -> Tables:
+    """The extracts as staging tables, typed like their targets; ``multiline`` as in ``read_extract``."""
     layout = layout or schemas.STAR
-    return {table: read_extract(spark, f"{base}/{name}", layout[table]) for name, table, _ in EXTRACTS}
+    return {table: read_extract(spark, f"{base}/{name}", layout[table], multiline) for name, table, _ in EXTRACTS}
 
 
 def load_warehouse(stage: Tables, target: Tables) -> Tables:
@@ -129,12 +129,14 @@ def run_elt(spark: SparkSession, oltp: Tables, base: str, run_id: str, **dates)
     return published_star(spark, base)
 
 
-def run_warehouse_load(spark: SparkSession, extracts: str, base: str, run_id: str, layout: dict | None = None) -> Tables:
+def run_warehouse_load(
+    spark: SparkSession, extracts: str, base: str, run_id: str, layout: dict | None = None, multiline: bool | None = None
+) -> Tables:
     """Load the extracts into the published warehouse, or start it with them.
 
     Only the months that the staged facts touch are read and written again; the others stay by reference.
     """
-    stage = read_stage(spark, extracts, layout)
+    stage = read_stage(spark, extracts, layout, multiline)
     target = published_star(spark, base)
     if target is None:
         publish_star(spark, first_load(stage), base, run_id)
@@ -190,6 +192,7 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("load")
     for name in ("--extracts", "--base", "--run-id"):
         job.add_argument(name, required=True)
+    job.add_argument("--single-line", action="store_true", help="no field holds a line break, so files can be split")
     job = jobs.add_parser("weather")
     job.add_argument("--raw", required=True, help="folder, or with --catalog the name of a table")
     job.add_argument("--catalog", action="store_true")
@@ -207,7 +210,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             export(spark, oltp, args.base, args.start, args.days)
     elif args.job == "load":
-        run_warehouse_load(spark, args.extracts, args.base, args.run_id)
+        run_warehouse_load(spark, args.extracts, args.base, args.run_id, multiline=False if args.single_line else None)
     else:
         clean_weather(spark, args.raw, args.out, args.mode, args.catalog, args.rejects)
 

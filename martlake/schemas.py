@@ -40,6 +40,7 @@ YEAR_RANGE = (1901, 2155)
 # Months a payment may fall in: half-open, six monthly ranges from here.
 PAYMENT_RANGE = ("2020-01-01", "2020-07-01")
 
+# Layouts of the rental tables and, below, of the star schema.
 OLTP = {
     "customer": _table(
         "customer_id INT NOT NULL, store_id INT NOT NULL, first_name STRING NOT NULL, "
@@ -98,6 +99,7 @@ STAR = {
     ),
 }
 
+# Keys of the star schema and of the rental tables.
 STAR_KEYS = {
     "customer_dim": ["customer_id"],
     "film_dim": ["film_id"],
@@ -106,7 +108,7 @@ STAR_KEYS = {
     "sales_facts": ["film_id", "customer_id", "staff_id", "date_id"],
 }
 
-# Longest text the star schema takes, per column.
+# The longest text in bytes the star schema takes, per column.
 STAR_LENGTHS = {
     "customer_dim": {"first_name": 254, "last_name": 254},
     "film_dim": {"title": 254, "rating": 10},
@@ -162,7 +164,7 @@ FOREIGN_KEYS = [
 
 
 def column_defaults(table: str) -> dict:
-    """Values a column takes when an insert leaves it out."""
+    """Values a column takes when an insert leaves it out (fixed values)."""
     columns = set(OLTP[table].fieldNames())
     found = {}
     if "last_update" in columns:

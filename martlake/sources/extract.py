@@ -34,13 +34,14 @@ def export_extract(df: DataFrame, path: str, order: list[str] | None = None) ->
     return path
 
 
-def read_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_extract(spark: SparkSession, path: str, schema: T.StructType, multiline: bool | None = None) -> DataFrame:
     """Rows of an extract; a malformed row stops the job.
 
-    Text may hold line breaks, so files with text columns are read one file per task; their
-    size is bounded when they are written.
+    Text may hold line breaks, so files with text columns are read one file per task; their size is bounded when
+    they are written here. Extracts made elsewhere, known to hold no line break within a field, are read with
+    ``multiline=False``: then large files are split over tasks.
     """
-    has_text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    has_text = any(isinstance(f.dataType, T.StringType) for f in schema.fields) if multiline is None else multiline
     return (
         spark.read.schema(schema)
         .options(**CSV, nullValue=NO_VALUE, emptyValue="", mode="FAILFAST", multiLine=str(has_text).lower())

@@ -287,5 +287,19 @@ def test_token_index_and_search(spark):
     assert rows(textindex.search(index, "film_id", ["long", "être"], need_all=False)) == [(1, 2), (2, 1)]
 
 
+def test_stored_index_is_read_by_word(spark, tmp_path):
+    df = spark.range(200).selectExpr("CAST(id AS INT) AS film_id", "CONCAT('w', id % 20, ' common') AS title")
+    path = textindex.write_index(textindex.token_index(df, "film_id", ["title"]), "film_id", str(tmp_path / "index"))
+    found = textindex.search(textindex.read_index(spark, path), "film_id", ["W7", "common"])
+    assert sorted(r.film_id for r in found.collect()) == list(range(7, 200, 20))
+    assert "PushedFilters: [In(token" in found._jdf.queryExecution().toString()
+
+
+def test_extract_without_line_breaks_is_split(spark, tmp_path):
+    films = spark.range(50).selectExpr("CAST(id AS INT) AS film_id", "'A, \"B\"' AS title")
+    path = extract.export_extract(films, str(tmp_path / "films"))
+    assert rows(extract.read_extract(spark, path, films.schema, multiline=False)) == rows(films)
+
+
 def test_stop_words():
     assert len(textindex.STOP_WORDS) == len(set(textindex.STOP_WORDS)) == 127
