@@ -6,9 +6,9 @@ so the toxic dictionary is trained on the parts of them that hold byte strings f
 ordinary texts. Every whole text is lower-cased and cut into windows of `WINDOW` words, `STRIDE` words apart; each
 window is compressed with either dictionary, and the bytes that the toxic one saves are its evidence. A text's
 features are its largest savings, the number and share of windows that save more than ordinary windows do, its
-mean saving, and the number of windows, since the largest of many is large by chance; a logistic curve fitted on
-labelled texts that the dictionaries have not seen turns them into a score, moved so that at most `FALSE_ALARMS` of
-the ordinary ones reach one half.
+mean saving, and the number of windows, since the largest of many is large by chance. A logistic curve turns them into a score; it is fitted on each
+half of the sample by dictionaries of the other half, and moved so that at most `FALSE_ALARMS` of the ordinary ones
+reach one half.
 
 Labels, language, source and id are not read when a text is scored. Defined cases: null and empty texts have no
 windows and get the score of a text without evidence; an id that is labelled several times counts as toxic if any
@@ -43,7 +43,7 @@ GRAM, CONTRAST, DOUBT = 6, 1.5, 2.0
 #: How many of the largest savings are features, and the share of ordinary windows that save more than chance.
 BEST, CHANCE = 3, 0.001
 #: At most this share of ordinary texts may score 0.5 or more.
-FALSE_ALARMS = 0.008
+FALSE_ALARMS = 0.004
 
 
 @dataclass
@@ -159,21 +159,26 @@ def dictionary(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[:size]
 
 
+def dictionaries(texts: list[tuple[bytes, int]]) -> Model:
+    """A model without a curve from (text, toxic) pairs of both classes."""
+    toxic, ordinary = ([t for t, y in texts if y == k] for k in (1, 0))
+    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in windows(t)[:64]])
+    # With the ordinary content behind its own, the toxic dictionary differs only by what toxic text adds.
+    return Model(dictionary(TOXIC_SIZE, marked_runs(toxic, ordinary)) + base, base)
+
+
 def fit(rows: list[tuple[str | None, int]]) -> Model:
-    """A model from (text, toxic) rows: dictionaries from every other one, the curve from the rest."""
+    """A model from (text, toxic) rows: the curve from each half by dictionaries of the other, then dictionaries of all."""
     texts = [(spaced((t or "").encode().lower()), int(y > 0)) for t, y in rows]
-    trained, held = texts[::2], texts[1::2]
-    toxic, ordinary = ([t for t, y in trained if y == k] for k in (1, 0))
-    y = np.array([y for _, y in held], dtype=np.float64)
-    if not toxic or not ordinary or not 0 < y.sum() < len(y):
+    halves = [texts[::2], texts[1::2]]
+    if any({y for _, y in half} != {0, 1} for half in halves):
         return Model(b"", b"")
-    samples = marked_runs(toxic, ordinary)
-    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in windows(t)[:64]])
-    # With the ordinary content behind its own, the toxic dictionary differs only by what toxic text adds.
-    model = Model(dictionary(TOXIC_SIZE, samples) + base, base)
-    lengths = Lengths(model)
-    saved = [lengths.saved(t) for t, _ in held]
-    model.chance = float(np.quantile(np.concatenate([s for s, k in zip(saved, y) if not k]), 1 - CHANCE))
+    saved, y = [], np.array([y for half in reversed(halves) for _, y in half], dtype=np.float64)
+    for trained, held in (halves, halves[::-1]):
+        lengths = Lengths(dictionaries(trained))
+        saved += [lengths.saved(t) for t, _ in held]
+    model = dictionaries(texts)
+    model.chance = float(np.quantile(np.concatenate([s for s, k in zip(saved, y, strict=True) if not k]), 1 - CHANCE))
     x = np.array([features(s, model.chance) for s in saved])
     model.weights = fit_curve(x, y)
     # Move the constant so that few ordinary texts reach a score of one half.
