@@ -48,8 +48,8 @@ from martlake.llm.textbytes import (
 WIDTH, ROWS, MISS = 5, 4, 1e-6
 #: Bits of an odd sketch, in 64-bit words.
 SKETCH = 8
-#: Classes of a bucket that are compared as one block, and their text.
-BLOCK, BLOCK_BYTES = 256, 8_000_000
+#: Classes of a bucket that are compared as one block; a task holds the texts of two blocks at most.
+BLOCK = 256
 #: Ids of texts to fetch are broadcast up to this many (8 bytes each), and joined by a shuffle beyond.
 FETCH = 1_000_000
 
