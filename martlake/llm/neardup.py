@@ -276,9 +276,9 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int, id_col: str, tex
     """(node, component) of all classes that are linked to a smaller one."""
     rows = classes.select(F.col("rep").alias("node"), F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("count"))
-    members = stored(
-        rows.join(buckets.filter("count > 1"), "bucket").select("bucket", "node", "leader", "count"), "neardup-members"
-    )
+    # Read from files, either side of the join has a shuffle of its own, so a crowded bucket can be split.
+    shared = stored(buckets.filter("count > 1"), "neardup-buckets")
+    members = stored(rows.join(shared, "bucket").select("bucket", "node", "leader", "count"), "neardup-members")
     pairs = members.filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"))
     sizes = classes.select("rep", "n", "sketch")
     sifted = (
