@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from martlake.llm.common import lean
 
 #: The limits that bound a task's memory.
-WORDS, WORD_BYTES, TOKENS, REMEMBER = 20_000, 400_000, 500_000, 400_000
+WORDS, WORD_BYTES, TOKENS, REMEMBER = 20_000, 400_000, 200_000, 200_000
 #: Words of more bytes than this go to the second query.
 LONG = 64
 
@@ -121,7 +121,7 @@ class Codec:
                     self.ranks[base64.b64decode(token)] = int(rank)
         self.pattern = regex.compile(pattern)
         self.words: dict[str, bytes] = {}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "150MB"})
         self.db.execute("SET preserve_insertion_order = false")
         self._load()
 
@@ -234,7 +234,7 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 #: Texts are taken in groups of about this many characters, or one at a time if longer.
-GROUP = 1_000_000
+GROUP = 400_000
 
 
 def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:

@@ -226,6 +226,6 @@ def test_index_walks_cells_in_order():
 
 
 def test_groups_cover_texts():
-    texts = ["a" * n for n in (5, 0, 2_000_000, 10, 999_995, 5, 1)]
+    texts = ["a" * n for n in (5, 0, 2_000_000, 10, 399_995, 5, 1)]
     spans = list(tokens.text_groups(texts))
     assert [k for i, j in spans for k in range(i, j)] == list(range(len(texts)))
