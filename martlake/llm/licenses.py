@@ -1,13 +1,15 @@
 """License notices: phrases in place, and an exact containment join of text blocks with notice templates.
 
 A block is a line, or, where a line is longer than `SPAN` words, each of its windows of `SPAN` words that start half a
-window apart. A block matches a template if it holds at least `threshold` of the template's distinct words. The
+window apart. Since notices are often wrapped, the windows of the whole text that reach over a line break are blocks
+too; they count for the templates that no line of the text matches, so a notice within one line keeps its line's
+containment. Any `SPAN` / 2 words in a row, which is more than a template has, are in one window. A block matches a template if it holds at least `threshold` of the template's distinct words. The
 template words are counted over all documents and ordered from rare to frequent; a matching block must hold one of
 the first words of that order (prefix filter), have enough words (length filter), and from the first common
 word on still be able to reach the overlap (positional filter). What passes is compared on full sets, so
 the join is exact. Templates and their counts are as small as the list below, whatever the corpus.
 
-Defined cases: null and empty texts have no words and no labels; blocks never span lines or texts; equal counts are
+Defined cases: null and empty texts have no words and no labels; blocks never span texts; equal counts are
 ordered by word; rows that repeat an id are judged each by its own text; without documents there are no counts and
 no rows; only the id and the text are read.
 """
@@ -57,7 +59,8 @@ TEMPLATES = (
 )
 
 THRESHOLD = 0.9
-#: Lines longer than this are cut into windows; any half as many words in a row are in one of them.
+#: Lines longer than this, and texts of several lines, are cut into windows; any half as many words in a row are in
+#: one of them.
 SPAN = 64
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -94,6 +97,19 @@ def line_numbers(data: np.ndarray, words: Words) -> np.ndarray:
     return breaks[words.start] + words.text if len(words.start) else np.zeros(0, dtype=np.int64)
 
 
+def broken_windows(places: np.ndarray, lines: np.ndarray, words: Words) -> list[tuple[int, int]]:
+    """First and last word (exclusive) of the windows of whole texts that hold one of the places and a line break."""
+    step = SPAN // 2
+    first = words.first[words.text[places]]
+    number = (places - first) // step
+    start = np.unique(np.concatenate([first + number * step, (first + (number - 1) * step)[number > 0]]))
+    head, end = words.first[words.text[start]], words.first[words.text[start] + 1]
+    start, end = (x[start < np.maximum(end - step, head + 1)] for x in (start, end))
+    stop = np.minimum(start + SPAN, end)
+    kept = lines[start] != lines[stop - 1]
+    return list(zip(start[kept].tolist(), stop[kept].tolist(), strict=True))
+
+
 def word_counts(docs: DataFrame, templates: tuple[tuple[str, str], ...], text_col: str = "text") -> DataFrame:
     """How many words of all texts are each template word: (word, n), one row per template word at most."""
     vocabulary = Vocabulary(templates)
@@ -213,19 +229,25 @@ def scan_texts(texts: pa.Array, join: Join) -> list[pa.Array]:
         numbers = join.vocabulary.find(hashes)
         lines = line_numbers(data, words)
         starts = np.flatnonzero(np.isin(numbers, np.flatnonzero(join.is_prefix)))
+        matches: list[tuple[int, float, int, int]] = []
         for line in np.unique(lines[starts]):
             i, j = np.searchsorted(lines, [line, line + 1])
-            k = int(words.text[i])
-            for t, share, at, width in join.line(numbers[i:j]):
-                spans[piece.first + k].append(
-                    {
-                        "label": join.labels[t],
-                        "template": t,
-                        "containment": share,
-                        "first_word": int(i) + at - int(words.first[k]),
-                        "n_words": width,
-                    }
-                )
+            matches += [(t, share, int(i) + at, width) for t, share, at, width in join.line(numbers[i:j])]
+        in_line = {(int(words.text[at]), t) for t, _, at, _ in matches}
+        for i, j in broken_windows(starts, lines, words):
+            more = join.block(numbers[i:j])
+            matches += [(t, share, i, j - i) for t, share in more if (int(words.text[i]), t) not in in_line]
+        for t, share, at, width in matches:
+            k = int(words.text[at])
+            spans[piece.first + k].append(
+                {
+                    "label": join.labels[t],
+                    "template": t,
+                    "containment": share,
+                    "first_word": at - int(words.first[k]),
+                    "n_words": width,
+                }
+            )
     labels = [sorted(b | {s["label"] for s in own}) for b, own in zip(base_labels, spans, strict=True)]
     scores = [
         1.0 if b else max((s["containment"] for s in own), default=0.0) for b, own in zip(base_labels, spans, strict=True)

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names, and crowded groups."""
 
 import random
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -295,6 +296,23 @@ def test_license_blocks():
     assert found[1][5] == "mit" and found[3][4] == "apache,gpl"
 
 
+@pytest.mark.parametrize("prefix", ["", " * ", "# ", "REM "])
+@pytest.mark.parametrize("before", [0, 3, 31, 32, 63, 64, 200])
+def test_wrapped_notices(prefix, before):
+    wrapped = [
+        "\n".join(prefix + line for line in textwrap.wrap("filler " * before + text, 60)) for _, text in licenses.TEMPLATES
+    ]
+    join = licenses.Join(licenses.TEMPLATES, {}, licenses.THRESHOLD)
+    spans = licenses.scan_texts(pa.array([None, *wrapped, "", "one\nline"]), join)[7].to_pylist()
+    assert spans[0] == spans[-1] == spans[-2] == []
+    for k, own in enumerate(spans[1:-2]):
+        best = max((s["containment"] for s in own if s["template"] == k), default=0)
+        assert best >= licenses.THRESHOLD, licenses.TEMPLATES[k]
+        assert all(s["first_word"] + s["n_words"] <= len(licenses.text_words(wrapped[k])) for s in own)
+    apart = licenses.scan_texts(pa.array(["This program is free software: you can\n" + "w " * 70 + "\n" + "License as published"]), join)
+    assert apart[7].to_pylist() == [[]]
+
+
 def test_nearest_edges(spark):
     rng = np.random.default_rng(6)
     points = rng.normal(size=(60, 4)).round(1).tolist()
