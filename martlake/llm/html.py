@@ -34,7 +34,9 @@ from martlake.llm.common import lean
 TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.DOTALL
 )
-ATTRIBUTE = re.compile(r"""(?<![\w-])(id|class|role|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+#: An attribute with its value, which is consumed whole, so that words in quoted values are not taken for names.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]++))?""")
+READ = set("id class role hidden style".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 #: Fixed values of the HTML standard: elements without content, elements whose content is not markup or not shown,
@@ -103,6 +105,8 @@ def name_words(attributes: str) -> tuple[set[str], bool]:
     hidden = False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
+        if key not in READ:
+            continue
         if key == "hidden":
             hidden = True
         elif key == "style":

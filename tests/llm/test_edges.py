@@ -262,6 +262,17 @@ def test_main_text_of_kinds_of_pages(wrap):
     assert html.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+def test_attributes_are_read_by_name():
+    for quiet in ['title="A hidden gem"', "aria-label='class=ad style=display:none'", 'data-x="id" hidden-x', "data-note=hidden", 'alt="" title = "hidden"']:
+        assert html.name_words(" " + quiet) == (set(), False)
+        assert html.main_text(f"<article {quiet}><p>The text, in full.</p></article>") == "The text, in full."
+    assert html.name_words(' data-x="a hidden b" hidden id=\'main\' CLASS = "sideBar x2" role=nav')[1]
+    assert html.name_words(' title="a"class="nav b"id=c') == ({"nav", "b", "c"}, False)
+    assert html.name_words(' title="=" style="color:red; display : none"') == (set(), True)
+    assert html.name_words(' class="" id hidden="until-found"') == (set(), True)
+    assert html.main_text('<article><p title="a">Shown, yes.</p><p title="b" hidden>Gone, no.</p></article>') == "Shown, yes."
+
+
 def test_main_text_edges(spark):
     assert html.main_text(None) == html.main_text("") == html.main_text("<p></p><script>x") == ""
     assert html.main_text("<p>One sentence, of some length, and no more.") == "One sentence, of some length, and no more."
