@@ -4,10 +4,12 @@ A page is read into text nodes, each with the path of open elements from the roo
 where present; plain elements of the line, such as bold text, are no step of a path). Per path, text length, punctuation and the part inside links are summed over its nodes; the path's
 ratio is the mean text per node weighted by punctuation and by the share outside links. Ratios are smoothed with
 a Gaussian over the paths in page order, so a short heading between long paragraphs rises and a stray sentence
-between menus falls, and fused with what the path's names say: an article or main element adds evidence, elements and
-classes of menus, notices, adverts, forms and the like outweigh any ratio. Where a page names its article, the
-article's paths are content; elsewhere the paths whose fused score passes the threshold, and what stands among
-them without being links for the most part. All text of content paths is kept.
+between menus falls, and fused with what the path's names say: an article or main element, or a class or id with such a
+word, adds evidence, elements and classes of menus, notices, adverts, forms and the like outweigh any ratio. The
+paths whose fused score passes the threshold are content, and what stands among them without being links for the
+most part. Where a page names its article, only the article's paths can be content, and all of them are, by their evidence:
+that is where article or main elements hold text, or elements with such classes hold most of the text outside
+boilerplate and links. All text of content paths is kept.
 
 Blocks are separated by block elements; white space within a block becomes one space, blocks are joined by two line
 feeds. Scripts, styles and other elements without page text are never read as text.
@@ -72,6 +74,8 @@ BOILERPLATE = set(
     " signup login search form share sharing social complementary contentinfo".split()
 )
 CONTENT = {"article", "main"}
+#: An article or main element, and an element whose id, class or role only holds such a word.
+ELEMENT, NAMED = 2.0, 1.0
 HEADS = {"header", "masthead", "banner"}
 #: Classes such as "with-sidebar" speak of what stands beside an element.
 QUALIFIED = {"with", "has", "no", "without"}
@@ -95,7 +99,7 @@ class Open:
     name: str
     path: tuple[str, ...]
     shown: bool
-    kind: float  # evidence of the names so far: > 0 content, < 0 boilerplate
+    kind: float  # evidence of the names so far: ELEMENT or NAMED content, < 0 boilerplate
     linked: bool
 
 
@@ -176,8 +180,8 @@ def read_nodes(page: str) -> tuple[list[Node], list[tuple[tuple[str, ...], float
             said -= HEADS  # an article has a heading of its own
         if name in ASIDE or said or (name == "header" and kind <= 0):
             kind = -1.0
-        elif (name in CONTENT or words & CONTENT) and kind >= 0:
-            kind = 1.0
+        elif kind >= 0 and (name in CONTENT or words & CONTENT):
+            kind = max(kind, ELEMENT if name in CONTENT else NAMED if name not in ("html", "body") else 0.0)
         shown = above.shown and name not in UNSHOWN and not hidden
         path = above.path if name in INLINE and not words else (*above.path, step)
         stack.append(Open(name, path, shown, kind, above.linked or name == "a"))
@@ -209,9 +213,10 @@ def content_paths(nodes: list[Node], paths: list[tuple[tuple[str, ...], float]])
     smooth = np.convolve(ratio, kernel)[reach : reach + n] / np.convolve(np.ones(n), kernel)[reach : reach + n]
     kind = np.array([k for _, k in paths])
     fused = np.maximum(smooth, ratio) + EVIDENCE * (kind > 0) - AGAINST * (kind < 0)
-    if length[kind > 0].sum() > 0:
-        return (kind > 0) & (fused > 0)  # the page names its article
-    open_ = (kind == 0) & (length > 0) & (linked <= length / 2)
+    plain = (length - linked) * (kind >= 0)
+    if length[kind == ELEMENT].sum() > 0 or plain[kind > 0].sum() > plain.sum() / 2:
+        return (kind > 0) & (fused > LEAST)  # the page names its article
+    open_ = (length > 0) & ((kind > 0) | ((kind == 0) & (linked <= length / 2)))
     strong = open_ & (fused > LEAST)
     if not strong.any():
         return open_

@@ -262,6 +262,30 @@ def test_main_text_of_kinds_of_pages(wrap):
     assert html.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+@pytest.mark.parametrize(
+    "heading",
+    [
+        '<h1 class="article-title">Heading</h1>',
+        '<p class="article-date">Heading</p>',
+        '<h2 id="main-heading">Heading</h2>',
+        '<h1 class="article-title"><a href="/x">Heading</a></h1>',
+    ],
+)
+def test_named_headings_do_not_name_the_article(heading):
+    body = BODY.removeprefix("<h2>Heading</h2>")
+    assert html.main_text(PAGE % (heading + f"<div>{body}</div>")) == TEXT
+    assert html.main_text(PAGE % f"<div>{heading}<div>{body}</div></div>") == TEXT
+
+
+def test_names_of_articles():
+    beside = "<div><p>Beside it, a sentence.</p></div>"
+    assert html.main_text(PAGE % (f'<div class="article-body">{BODY}</div>' + beside)) == TEXT
+    assert html.main_text(PAGE % (f"<article>{BODY}</article>" + beside)) == TEXT
+    assert html.main_text(PAGE % (f'<div id="main"><h2>Heading</h2><article>{BODY[16:]}</article></div>' + beside)) == TEXT
+    menu = '<ul><li><a href="/a">One, two</a></ul>'
+    assert html.main_text(f'<body class="article-page">{menu}<div><p>A long sentence, with words, in it.</p></div>') == "A long sentence, with words, in it."
+
+
 def test_attributes_are_read_by_name():
     for quiet in ['title="A hidden gem"', "aria-label='class=ad style=display:none'", 'data-x="id" hidden-x', "data-note=hidden", 'alt="" title = "hidden"']:
         assert html.name_words(" " + quiet) == (set(), False)
