@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,29 +16,55 @@ FILES = T.StructType([T.StructField("value", T.StringType()), *[T.StructField(k,
 CORRUPT = "_corrupt"
 DOCUMENT = T.StructType([*[f for f in schemas.LANDING.fields if f.name not in schemas.LANDING_KEYS], T.StructField(CORRUPT, T.StringType())])
 SOURCE = ["source_file", "source_time", "source_size"]
+#: Files of more bytes are read by lines, in many tasks; a document over several lines has to be in a smaller one.
+WHOLE = 64 << 20
+JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+END = "end of the text"
 
 
-def read_landing(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
-    """Every JSON document below ``location=/year=/month=/day=`` folders, in any of the three shapes.
+def _one_document(text: Column) -> Column:
+    """Whether the whole text is one JSON object; ``from_json`` alone ignores what follows the first."""
+    parts = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{END}"]')), "array<string>")
+    whole = (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == END) & F.trim(text).startswith("{")
+    return F.coalesce(whole, F.lit(False))
 
-    A file is read whole. If its first line is a document of its own, each line is one; otherwise, as in a
-    pretty-printed reply, the file is. Only the needed fields are parsed. ``reason`` says why a document holds no day
-    (``text`` then holds it), and is NULL for all others; source columns name the file it came from.
-    ``paths`` picks files below the folder.
-    """
-    files = spark.read.schema(FILES).option("basePath", root).text(paths or root, wholetext=True)
-    files = files.select(
+
+def _starts_document(line: Column) -> Column:
+    """Whether a line begins with an object that is complete and readable."""
+    found = F.from_json(line, DOCUMENT, JSON)
+    readable = found.isNotNull() & found[CORRUPT].isNull() & F.trim(line).startswith("{")
+    return F.coalesce(readable, F.lit(False))
+
+
+def _read_texts(spark: SparkSession, root: str, paths: list[str] | None, whole: bool) -> DataFrame:
+    options = {"wholetext": True} if whole else {"lineSep": "\n"}
+    files = spark.read.schema(FILES).option("basePath", root).text(paths or root, **options)
+    size = F.col("_metadata.file_size")
+    return files.filter(size <= WHOLE if whole else size > WHOLE).select(
         "*",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("source_time"),
-        F.col("_metadata.file_size").alias("source_size"),
+        size.alias("source_size"),
     )
+
+
+def read_landing(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """Every JSON document below ``location=/year=/month=/day=`` folders, in any of the three shapes.
+
+    A file is one document if the whole of it parses. Otherwise, if any of its lines begins with a complete object, each
+    line is judged by itself; in other files, such as pretty-printed replies of which one is cut, documents end where a line
+    that closes an object is followed by one that opens one. Files of more than ``WHOLE`` bytes are read by lines only.
+    Only the needed fields are parsed. ``reason`` says why a document holds no day (``text`` then holds it), and is NULL for
+    all others; source columns name the file it came from. ``paths`` picks files below the folder.
+    """
+    files = _read_texts(spark, root, paths, whole=True)
     lines = F.filter(F.split("value", "\r?\n"), lambda line: F.length(F.trim(line)) > 0)
-    first = F.trim(F.get(lines, F.lit(0)))
-    by_line = F.coalesce(first.startswith("{") & first.endswith("}"), F.lit(False))
-    texts = files.withColumn("text", F.explode(F.when(by_line, lines).otherwise(F.array("value")))).drop("value")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = texts.withColumn("_doc", F.from_json("text", DOCUMENT, options))
+    replies = F.split("value", r"(?<=\})[ \t\r]*\n\s*(?=\{)")
+    found = F.when(_one_document(F.col("value")), F.array("value")).when(F.exists(lines, _starts_document), lines).otherwise(replies)
+    by_line = _read_texts(spark, root, paths, whole=False).withColumn("text", F.regexp_replace("value", "\r$", ""))
+    by_line = by_line.filter(F.length(F.trim("text")) > 0).drop("value")
+    texts = files.withColumn("text", F.explode(found)).drop("value").unionByName(by_line)
+    parsed = texts.withColumn("_doc", F.from_json("text", DOCUMENT, JSON))
     fields = [f.name for f in DOCUMENT.fields if f.name != CORRUPT]
     broken = F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull()
     listed = F.coalesce("_doc.data.weather", "_doc.weather")

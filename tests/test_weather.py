@@ -113,6 +113,50 @@ def test_pretty_printed_reply(spark, tmp_path):
     assert [r.avgHumidity for r in clean.collect()] == [50.0]
 
 
+def land_text(raw, location, text, date="2020-12-25"):
+    folder = raw / f"location={location}" / "year=2020" / "month=12" / "day=25"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "lines.json").write_bytes(text.encode())
+
+
+@pytest.mark.parametrize("bound", [landing.WHOLE, 0])
+def test_lines_are_judged_one_by_one(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(landing, "WHOLE", bound)
+    raw = tmp_path / "raw"
+    one, two = (json.dumps(day(f"2020-12-0{k}", [hour()])) for k in (1, 2))
+    land_text(raw, "a", f"{one[:30]}\r\n{one}\r\n\r\n{two}\r\n")
+    land_text(raw, "b", f"garbage\n{one}\n{two[:40]}\n{two}")
+    land_text(raw, "c", f"{one}\n{two}\n")
+    documents = landing.read_landing(spark, str(raw)).cache()
+    days = weather.clean_days(weather.normalise_days(landing.accepted(documents))).collect()
+    assert sorted((r.location, str(r.date)[:10]) for r in days) == [(x, f"2020-12-0{k}") for x in "abc" for k in (1, 2)]
+    assert sorted((r.location, r.text, r.reason) for r in landing.rejected(documents).collect()) == [
+        ("a", one[:30], "not a JSON document"), ("b", "garbage", "not a JSON document"), ("b", two[:40], "not a JSON document"),
+    ]
+
+
+def test_replies_over_several_lines(spark, tmp_path):
+    raw = tmp_path / "raw"
+    one, two = (json.dumps({"data": {"weather": [day(f"2020-12-0{k}", [hour()])]}}, indent=2) for k in (1, 2))
+    rows = "{\n\"weather\": [\n" + json.dumps(day("2020-12-01", [hour()])) + "\n]}"
+    land_text(raw, "a", f"{one}\n{two}")
+    land_text(raw, "b", two[:-20])
+    land_text(raw, "c", rows)
+    documents = landing.read_landing(spark, str(raw)).cache()
+    days = weather.clean_days(weather.normalise_days(landing.accepted(documents))).collect()
+    assert sorted((r.location, str(r.date)[:10]) for r in days) == [("a", "2020-12-01"), ("a", "2020-12-02"), ("c", "2020-12-01")]
+    assert [(r.location, r.text) for r in landing.rejected(documents).collect()] == [("b", two[:-20])]
+
+
+def test_large_files_are_not_opened_as_a_whole(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    text = json.dumps(day("2020-12-01", [hour()])) + "\n"
+    land_text(raw, "a", text * 300)
+    monkeypatch.setattr(landing, "WHOLE", 1000)
+    scans = {whole: landing._read_texts(spark, str(raw), None, whole) for whole in (True, False)}
+    assert scans[True].rdd.getNumPartitions() == 0 and scans[False].count() == 300
+
+
 def test_clean_job_twice_adds_nothing(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "clean")
     for date in ("2020-01-31", "2020-02-01"):
