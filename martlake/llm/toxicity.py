@@ -1,14 +1,15 @@
 """Toxicity by compression: which of two zstandard dictionaries makes a text's windows shorter.
 
-One dictionary is trained on toxic text, one on ordinary text, from a bounded sample of labelled rows (`DOCS` texts
-per class, the first `BYTES` bytes of each, those with the smallest hash of the id). Toxic texts are mostly ordinary prose,
+One dictionary is trained on toxic text, one on ordinary text, from a bounded sample of labelled rows (`DOCS`
+whole texts per class, those with the smallest hash of the id). Toxic texts are mostly ordinary prose,
 so the toxic dictionary is trained on the parts of them that hold byte strings far more common there than in
 ordinary texts. Every whole text is lower-cased and cut into windows of `WINDOW` words, `STRIDE` words apart; each
 window is compressed with either dictionary, and the bytes that the toxic one saves are its evidence. A text's
 features are its largest savings, the number and share of windows that save more than ordinary windows do, its
 mean saving, and the number of windows, since the largest of many is large by chance; a logistic curve fitted on
 labelled texts that the dictionaries have not seen turns them into a score, moved so that at most `FALSE_ALARMS` of
-the ordinary ones reach one half.
+the ordinary ones reach one half. Those texts are compressed whole, in tasks and window by window as all others are;
+the driver sees how often each saving occurs in them. Of the half that the dictionaries are trained on it holds the texts.
 
 Labels, language, source and id are not read when a text is scored. Defined cases: null and empty texts have no
 windows and get the score of a text without evidence; an id that is labelled several times counts as toxic if any
@@ -28,13 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.llm.common import lean, unused
+from martlake.llm.common import lean, stored, unused
 from martlake.llm.textbytes import LOWER, pieces
 
 #: Words of a window, and from the start of one to the next.
 WINDOW, STRIDE = 6, 3
-#: Bounds of the sample that dictionaries and curve are fitted on.
-DOCS, BYTES = 3000, 4000
+#: Texts per class in the sample that dictionaries and curve are fitted on, and the tasks its curve's half is spread over.
+DOCS, TASKS = 3000, 24
+#: Windows of an ordinary text, evenly from all over it, that its dictionary is trained on.
+DRAWN = 64
 #: Sizes of the dictionaries' own content, and the compression level.
 TOXIC_SIZE, ORDINARY_SIZE, LEVEL = 2048, 8192, 6
 #: Length of the byte strings that are compared between the classes, and the log odds ratio by which those that mark
@@ -159,20 +162,32 @@ def dictionary(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[:size]
 
 
-def fit(rows: list[tuple[str | None, int]]) -> Model:
-    """A model from (text, toxic) rows: dictionaries from every other one, the curve from the rest."""
-    texts = [(spaced((t or "").encode().lower()), int(y > 0)) for t, y in rows]
-    trained, held = texts[::2], texts[1::2]
-    toxic, ordinary = ([t for t, y in trained if y == k] for k in (1, 0))
-    y = np.array([y for _, y in held], dtype=np.float64)
-    if not toxic or not ordinary or not 0 < y.sum() < len(y):
-        return Model(b"", b"")
+def drawn(parts: list[bytes]) -> list[bytes]:
+    """At most `DRAWN` of a text's windows, evenly from its start to its end."""
+    if len(parts) <= DRAWN:
+        return parts
+    return [parts[i] for i in np.linspace(0, len(parts) - 1, DRAWN).astype(int)]
+
+
+def lowered(text: str | None) -> bytes:
+    return spaced((text or "").encode().lower())
+
+
+def learn(texts: list[tuple[bytes, int]]) -> Model | None:
+    """The dictionaries, from (text, toxic) rows; without rows of both classes there are none."""
+    toxic, ordinary = ([t for t, y in texts if y == k] for k in (1, 0))
+    if not toxic or not ordinary:
+        return None
     samples = marked_runs(toxic, ordinary)
-    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in windows(t)[:64]])
+    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in drawn(windows(t))])
     # With the ordinary content behind its own, the toxic dictionary differs only by what toxic text adds.
-    model = Model(dictionary(TOXIC_SIZE, samples) + base, base)
-    lengths = Lengths(model)
-    saved = [lengths.saved(t) for t, _ in held]
+    return Model(dictionary(TOXIC_SIZE, samples) + base, base)
+
+
+def calibrate(model: Model, saved: list[np.ndarray], y: np.ndarray) -> Model:
+    """The model with its curve, from the savings of whole texts that the dictionaries have not seen."""
+    if not 0 < y.sum() < len(y):
+        return Model(b"", b"")
     model.chance = float(np.quantile(np.concatenate([s for s, k in zip(saved, y) if not k]), 1 - CHANCE))
     x = np.array([features(s, model.chance) for s in saved])
     model.weights = fit_curve(x, y)
@@ -182,6 +197,17 @@ def fit(rows: list[tuple[str | None, int]]) -> Model:
     return model
 
 
+def fit(rows: list[tuple[str | None, int]]) -> Model:
+    """A model from (text, toxic) rows: dictionaries from every other one, the curve from the rest."""
+    texts = [(lowered(t), int(y > 0)) for t, y in rows]
+    model = learn(texts[::2])
+    if model is None:
+        return Model(b"", b"")
+    lengths = Lengths(model)
+    held = texts[1::2]
+    return calibrate(model, [lengths.saved(t) for t, _ in held], np.array([y for _, y in held], dtype=np.float64))
+
+
 def held_out(id_col: Column) -> Column:
     """Rows that are never learnt from: checksum of the id as text, divisible by 5."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -202,11 +228,39 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS) -> Mod
         for k in (1, 0)
     ]
     sample = F.broadcast(chosen[0].unionAll(chosen[1]))
-    texts = docs.select("doc_id", F.substring("text", 1, BYTES).alias("text")).join(sample, "doc_id")
+    texts = docs.select("doc_id", "text").join(sample, "doc_id").filter(F.length("text") > 0)
     # Copies of an id could exceed the bound; one text of each is enough to learn from.
-    one = texts.groupBy("doc_id", "toxic", "draw").agg(F.min("text").alias("text"))
-    rows = sorted((r["draw"], r["doc_id"], r["text"], r["toxic"]) for r in one.collect() if r["text"])
-    return fit([(text, toxic) for _, _, text, toxic in rows])
+    one = stored(texts.groupBy("doc_id", "toxic", "draw").agg(F.min("text").alias("text")), "toxicity")
+    keys = sorted((r["draw"], r["doc_id"]) for r in one.select("draw", "doc_id").collect())
+    spark = docs.sparkSession
+
+    def half(ids: list[tuple[int, int]]) -> DataFrame:
+        return one.join(F.broadcast(spark.createDataFrame([(i,) for _, i in ids], one.select("doc_id").schema)), "doc_id")
+
+    rows = sorted((r["draw"], r["doc_id"], r["text"], r["toxic"]) for r in half(keys[::2]).collect())
+    model = learn([(lowered(text), toxic) for _, _, text, toxic in rows])
+    if model is None:
+        return Model(b"", b"")
+    found = sorted(savings(half(keys[1::2]), model).collect(), key=lambda r: (r["draw"], r["doc_id"]))
+    saved = [np.repeat(np.array(r["saved"], dtype=np.float64), r["times"]) for r in found]
+    return calibrate(model, saved, np.array([r["toxic"] for r in found], dtype=np.float64))
+
+
+def savings(texts: DataFrame, model: Model) -> DataFrame:
+    """How many windows of each whole text save how many bytes; texts themselves are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths = Lengths(model)
+        for batch in batches:
+            pairs = [np.unique(lengths.saved(lowered(t)).astype(int), return_counts=True) for t in batch.column(3).to_pylist()]
+            columns = [pa.array([x.tolist() for x in column], pa.list_(pa.int64())) for column in zip(*pairs)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], *(columns or [pa.array([], pa.list_(pa.int64()))] * 2)],
+                names=["doc_id", "draw", "toxic", "saved", "times"],
+            )
+
+    read = texts.select(F.col("doc_id").cast("long"), "draw", "toxic", "text").repartition(TASKS)
+    return read.mapInArrow(lean(run), "doc_id long, draw long, toxic int, saved array<long>, times array<long>")
 
 
 def score_texts(texts: pa.Array, model: Model, lengths: Lengths | None) -> np.ndarray:

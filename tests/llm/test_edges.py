@@ -409,3 +409,29 @@ def test_urls(spark):
     for row in wanted:
         assert any(f[:4] == row[:4] and (row[4] is None or f[4] == row[4]) for f in found), row
     assert urls.judge_urls(table.limit(0)).count() == 0
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(8)
+    prepare(spark)
+    rows = [(i, prose(100 + i, 900), int(i % 3 == 0)) for i in range(240)]
+    rows = [(i, t + (" vile grob scum " + rng.choice(["nasty", "filthy"])) * (40 * y), y) for i, t, y in rows]
+    assert all(len(t) > 4000 for _, t, _ in rows)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert b"vile grob" in model.toxic[: toxicity.TOXIC_SIZE]
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    held = [(found[i].predicted, y) for i, _, y in rows if found[i].held_out]
+    assert all(p == 1 for p, y in held if y) and sum(p for p, y in held if not y) <= 1
+    # The same rows in the same order give the same model on the driver.
+    kept = [(i, t, y) for i, t, y in rows if not found[i].held_out]
+    draws = {r.doc_id: r.draw for r in docs.select("doc_id", F.xxhash64("doc_id").alias("draw")).collect()}
+    same = toxicity.fit([(t, y) for _, i, t, y in sorted((draws[i], i, t, y) for i, t, y in kept)])
+    assert same.toxic == model.toxic and same.chance == model.chance and np.allclose(same.weights, model.weights)
+
+
+def test_windows_are_drawn_from_all_over():
+    parts = [str(i).encode() for i in range(1000)]
+    own = toxicity.drawn(parts)
+    assert len(own) == toxicity.DRAWN and own[0] == b"0" and own[-1] == b"999" and toxicity.drawn(parts[:64]) == parts[:64]
