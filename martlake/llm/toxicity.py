@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.llm.common import lean, stored, unused
+from martlake.llm.common import lean, unused
 from martlake.llm.textbytes import LOWER, pieces
 
 #: Words of a window, and from the start of one to the next.
@@ -227,15 +227,15 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = DOCS) -> Mod
         .limit(docs_per_class)
         for k in (1, 0)
     ]
-    sample = F.broadcast(chosen[0].unionAll(chosen[1]))
-    texts = docs.select("doc_id", "text").join(sample, "doc_id").filter(F.length("text") > 0)
-    # Copies of an id could exceed the bound; one text of each is enough to learn from.
-    one = stored(texts.groupBy("doc_id", "toxic", "draw").agg(F.min("text").alias("text")), "toxicity")
-    keys = sorted((r["draw"], r["doc_id"]) for r in one.select("draw", "doc_id").collect())
-    spark = docs.sparkSession
-
-    def half(ids: list[tuple[int, int]]) -> DataFrame:
-        return one.join(F.broadcast(spark.createDataFrame([(i,) for _, i in ids], one.select("doc_id").schema)), "doc_id")
+    sample = chosen[0].unionAll(chosen[1])
+    texts = docs.select("doc_id", "text").filter(F.length("text") > 0)
+    keys = texts.select("doc_id").join(F.broadcast(sample), "doc_id").distinct().select("draw", "doc_id", "toxic")
+    schema, keys = keys.schema, sorted(tuple(r) for r in keys.collect())
+
+    def half(keys: list[tuple]) -> DataFrame:
+        chosen = F.broadcast(docs.sparkSession.createDataFrame(keys, schema))
+        # Copies of an id could exceed the bound; one text of each is enough to learn from.
+        return texts.join(chosen, "doc_id").groupBy("doc_id", "toxic", "draw").agg(F.min("text").alias("text"))
 
     rows = sorted((r["draw"], r["doc_id"], r["text"], r["toxic"]) for r in half(keys[::2]).collect())
     model = learn([(lowered(text), toxic) for _, _, text, toxic in rows])
