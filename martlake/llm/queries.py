@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import html, licenses, mixing, neardup, quality, sharding, tokens, toxicity, urls, vectors
+from martlake.llm import align, html, licenses, mixing, neardup, packing, quality, runs, sharding, tokens, toxicity, urls, vectors
 from martlake.llm.common import small, stored, table
 
 QUERIES = {}
@@ -159,3 +159,61 @@ def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_url_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(table(spark, folder, "pages"))
+
+
+@query
+def op11_lockstep_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    linked = align.aligned(table(spark, folder, "documents").select("doc_id", "text"), *paths)
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    linked = linked.withColumns({"groups_sha256": groups, "row": F.monotonically_increasing_id()})
+    return align.scored(stored(linked.drop("groups"), "aligned"), key="row").drop("row")
+
+
+@query
+def op12_column_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.packed(table(spark, folder, "documents"), path, end_id=1, size=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """Texts of the ids that the contract picks, with their words from a certain one on repeating; others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # A column of its own: inside the lambda the words would be taken apart anew for each place.
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({mixing.WORD})"), F.lit(1)))
+    split = docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"), F.size(words).alias("n"))
+    a = (F.col("g") % F.greatest("n", F.lit(1))).cast("int")
+    p = (F.floor((F.col("n") - a) / (3 + F.col("g") % 8)) + 1).cast("int")
+    cut = split.select("*", a.alias("a"), p.alias("p"))
+    places = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.array_join(F.transform(places, lambda i: F.get("words", at(i))), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_grammar_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(looped(table(spark, folder, "documents")), least=6, exponent=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digest = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest.alias("run"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    start, length, period = -F.col("run.col2"), F.col("run.length"), -F.col("run.col3")
+    return digest.select(
+        "doc_id",
+        "n_runs",
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )

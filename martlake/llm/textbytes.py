@@ -135,3 +135,16 @@ def span_sums(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of marks between consecutive bounds."""
     sums = np.concatenate([[0], np.cumsum(marks)])
     return np.diff(sums[bounds])
+
+
+def gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the ranges one after another, and where each begins (one offset more than ranges)."""
+    edges = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    return data[np.repeat(start - edges[:-1], length) + np.arange(edges[-1])], edges
+
+
+def distinct(raw: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """For each range of `raw` the number of its value among the distinct ones, and these; compared byte by byte."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(edges, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
+    column = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, buffers).dictionary_encode()
+    return column.indices.to_numpy(zero_copy_only=False).astype(np.int64), column.dictionary.to_pylist()
