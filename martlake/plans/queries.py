@@ -18,7 +18,7 @@ from martlake import schemas
 from martlake.functions.calendar import date_id, month_bounds
 from martlake.operators import quality, rentals, textindex, upsert, weather
 from martlake.operators.keys import assign_keys, next_key
-from martlake.plans import jobs, reports, snapshots, star
+from martlake.plans import functions, jobs, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
 from martlake.session import configure, scratch_path
 from martlake.sources import extract, landing, tables
@@ -504,6 +504,70 @@ def customer_balance_replacement(b: Bridge) -> DataFrame:
     return _balance(b, charge=True)
 
 
+# --- routines called by name
+
+
+def _call(b: Bridge, text: str) -> DataFrame:
+    functions.register_functions(b.spark, {name: getattr(b, name)() for name in functions.NAMES})
+    return b.spark.sql(text)
+
+
+@query(
+    f"""SELECT inventory_id, inventory_id NOT IN ({OUT}) AS in_stock, h.customer_id
+       FROM inventory LEFT JOIN (SELECT inventory_id, min(customer_id) AS customer_id FROM rental
+                                 WHERE return_date IS NULL GROUP BY 1) h USING (inventory_id)""",
+    "rental", "inventory",
+)
+def stock_by_name(b: Bridge) -> DataFrame:
+    return _call(
+        b,
+        """SELECT inventory_id, inventory_in_stock(inventory_id) AS in_stock,
+                  inventory_held_by_customer(inventory_id) AS customer_id
+           FROM rental_shop_inventory""",
+    )
+
+
+@query(
+    f"""SELECT film_id, inventory_id, inventory_id NOT IN ({OUT}) AS in_stock FROM inventory
+       WHERE store_id = film_id % 25""",
+    "rental", "inventory",
+)
+def shelf_by_name(b: Bridge) -> DataFrame:
+    """Items of each film in one store, those on the shelf and those on rent."""
+    call = "SELECT f.film_id, s.inventory_id, {flag} AS in_stock FROM rental_shop_film f, LATERAL {name}(f.film_id, CAST(f.film_id % 25 AS INT)) s"
+    here, out = call.format(flag="true", name="film_in_stock"), call.format(flag="false", name="film_not_in_stock")
+    return _call(b, f"{here} UNION ALL {out}")
+
+
+@query(BALANCE.format(extra=""), "payment", "rental", "inventory", "film", "customers")
+def balances_by_name(b: Bridge) -> DataFrame:
+    return _call(b, f"SELECT * FROM customer_balances(TIMESTAMP_NTZ '{AS_OF}')")
+
+
+@query(BALANCE.format(extra=""), "payment", "rental", "inventory", "film", "customers")
+def balance_by_name(b: Bridge) -> DataFrame:
+    return _call(b, f"SELECT customer_id, get_customer_balance(customer_id, TIMESTAMP_NTZ '{AS_OF}') AS balance FROM rental_shop_customer")
+
+
+@query(ORACLES["rewards"])
+def rewards_by_name(b: Bridge) -> DataFrame:
+    return _call(b, "SELECT * FROM rewards_report(1, 100000, DATE '2001-07-15')")
+
+
+@query(
+    """SELECT f.film_id, f.customer_id, f.staff_id, f.amount, d.*, last_day(d.date) AS month_end
+       FROM facts f JOIN date_dim d USING (date_id)""",
+    "facts", "date_dim",
+)
+def facts_by_name(b: Bridge) -> DataFrame:
+    """Facts with their dates, both from table functions."""
+    return _call(
+        b,
+        f"""SELECT f.film_id, f.customer_id, f.staff_id, f.amount, d.*, last_day_of_month(d.date) AS month_end
+            FROM get_sales_facts() f JOIN get_date_dim(DATE '{DATE_START}', 5000) d ON d.date_id = f.date_id""",
+    )
+
+
 # --- merges -------------------------------------------------------------------------------
 
 
