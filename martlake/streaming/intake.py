@@ -1,11 +1,11 @@
-"""Incremental weather intake: files that are new or changed go into an append-only log of cleaned days.
-
-The log is its own checkpoint. ``files`` holds path, modification time and size of every file taken in, ``days``
-the cleaned days, ``rejected`` the documents that hold none, all in one folder per batch. A batch writes days and
-rejects first and its files last; until then it does not count, and the next run writes it again under the same
-number. A file is taken in if the log does not hold it with its present time and size, so one that is delivered again
-under its name, or that is older than all others, is never missed. A file source with a checkpoint of its own would
-remember names only and leave out late files by their age.
+"""Incremental weather intake: a stream of landing files feeds an append-only log of cleaned days.
+
+Structured Streaming's file source finds new files and keeps its place in ``checkpoint``. Each of its batches writes three
+folders of the log under the batch's number: ``days`` holds the cleaned days, ``rejected`` the documents that hold none, ``files``
+the path, time and size of the files taken in. ``files`` is written last and says that a batch counts; a batch that failed is
+repeated by the stream with the same files and number and writes the same folders again. The source knows files by their names,
+of any age. Files that were delivered again under their names are found by their time and size, after the stream has caught up,
+and taken in as batches between two of the stream.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from martlake.sources.landing import (
     SOURCE,
     accepted,
     list_files,
+    named_files as _named,
     read_landing,
     rejected,
     write_clean,
@@ -31,6 +32,9 @@ from martlake.sources.landing import (
 from martlake.sources.publish import publish, published_folders, published_run, read_folders, read_published
 
 TABLE = "cleanweather"
+#: Batches of the stream are this far apart, so that files delivered again go between two of them.
+STEP = 1_000_000
+ANY_AGE = "365000d"
 
 # A day is known by its landing folder and its date; a date that does not parse is NULL and
 # still tells the day from those of other folders.
@@ -76,40 +80,65 @@ def last_batch(spark: SparkSession, log: str) -> int:
     return -1 if newest is None else newest
 
 
-def waiting_files(spark: SparkSession, root: str, log: str) -> DataFrame:
+def changed_files(spark: SparkSession, root: str, log: str) -> DataFrame:
     """Files that the log does not hold as they are now; their contents are not read."""
     return list_files(spark, root).join(taken_files(spark, log).select(*SOURCE), SOURCE, "left_anti")
 
 
-def take_in(spark: SparkSession, root: str, log: str, files_per_batch: int = 100_000) -> int:
-    """Clean the files that are new or changed, in batches of at most so many; returns the last batch's number.
+def _write_batch(files: DataFrame, root: str, log: str, batch: int) -> bool:
+    """Clean the documents of these files into the log; the driver holds the paths of one batch. False if there are none."""
+    spark = files.sparkSession
+    listed = files.select(*SOURCE).collect()
+    if not listed:
+        return False
+    documents = read_landing(spark, root, [r["source_file"] for r in listed])
+    days = clean_days(normalise_days(accepted(documents)))
+    wanted = [f.name for f in LOG.fields if f.name != "batch"]
+    days.select(*wanted).write.mode("overwrite").parquet(f"{log}/days/batch={batch}")
+    rejected(documents).write.mode("overwrite").parquet(f"{log}/rejected/batch={batch}")
+    # As listed before the reading: a file that changed meanwhile is found again.
+    noted = spark.createDataFrame(listed, T.StructType(TAKEN.fields[:-1]))
+    noted.write.mode("overwrite").parquet(f"{log}/files/batch={batch}")
+    return True
 
-    The driver holds the paths of one batch at a time.
-    """
+
+def take_in(spark: SparkSession, root: str, log: str, files_per_batch: int = 100_000) -> int:
+    """Clean all files that are new or changed, in batches of at most so many; returns the last batch's number."""
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
+        .load(root)
+    )
+    query = (
+        _named(found)
+        .writeStream.foreachBatch(lambda files, number: _write_batch(files, root, log, number * STEP))
+        .option("checkpointLocation", f"{log}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
     while True:
-        waiting = waiting_files(spark, root, log).orderBy("source_time", "source_file").limit(files_per_batch)
-        paths = [r["source_file"] for r in waiting.select("source_file").collect()]
-        batch = last_batch(spark, log)
-        if not paths:
-            return batch
-        batch += 1
-        documents = read_landing(spark, root, paths)
-        days = clean_days(normalise_days(accepted(documents)))
-        wanted = [f.name for f in LOG.fields if f.name != "batch"]
-        days.select(*wanted).write.mode("overwrite").parquet(f"{log}/days/batch={batch}")
-        rejected(documents).write.mode("overwrite").parquet(f"{log}/rejected/batch={batch}")
-        # As listed before the reading: a file that changed meanwhile is still waiting.
-        waiting.write.mode("overwrite").parquet(f"{log}/files/batch={batch}")
+        again = changed_files(spark, root, log).orderBy("source_time", "source_file").limit(files_per_batch)
+        if not _write_batch(again, root, log, max(last_batch(spark, log), 0) + 1):
+            return last_batch(spark, log)
+
+
+def _counted(spark: SparkSession, log: str, part: str, schema: T.StructType) -> DataFrame:
+    """A part of the log, of the batches that count."""
+    return _log_part(spark, log, part, schema).join(taken_files(spark, log).select("batch").distinct(), "batch", "left_semi")
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    """Every delivery of every day, of the batches that count."""
-    return _log_part(spark, log, "days", LOG).filter(F.col("batch") <= last_batch(spark, log))
+    """Every delivery of every day."""
+    return _counted(spark, log, "days", LOG)
 
 
 def rejected_documents(spark: SparkSession, log: str) -> DataFrame:
-    """Documents without a day, of the batches that count, with the reason."""
-    return _log_part(spark, log, "rejected", REJECTED).filter(F.col("batch") <= last_batch(spark, log))
+    """Documents without a day, with the reason."""
+    return _counted(spark, log, "rejected", REJECTED)
 
 
 def newest_of(deliveries: DataFrame) -> DataFrame:
@@ -163,5 +192,5 @@ def compact_days(spark: SparkSession, log: str, base: str) -> DataFrame | None:
             kept = [f for f in folders if f not in again]
             if again:
                 days = _merged(read_folders(spark, base, TABLE, again, schemas.CLEAN_DAY), days)
-        publish(spark, {TABLE: days}, base, f"batch-{newest:012d}", writers={TABLE: write_clean}, kept={TABLE: kept})
+        publish(spark, {TABLE: days}, base, f"batch-{newest:018d}", writers={TABLE: write_clean}, kept={TABLE: kept})
     return read_compacted(spark, base) if newest >= 0 else None

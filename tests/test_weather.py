@@ -2,9 +2,12 @@ import datetime
 import json
 import math
 import os
+import random
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from martlake import schemas
@@ -119,7 +122,7 @@ def land_text(raw, location, text, date="2020-12-25"):
     (folder / "lines.json").write_bytes(text.encode())
 
 
-@pytest.mark.parametrize("bound", [landing.WHOLE, 0])
+@pytest.mark.parametrize("bound", [landing.WHOLE, 10])
 def test_lines_are_judged_one_by_one(spark, tmp_path, monkeypatch, bound):
     monkeypatch.setattr(landing, "WHOLE", bound)
     raw = tmp_path / "raw"
@@ -135,7 +138,9 @@ def test_lines_are_judged_one_by_one(spark, tmp_path, monkeypatch, bound):
     ]
 
 
-def test_replies_over_several_lines(spark, tmp_path):
+@pytest.mark.parametrize("bound", [landing.WHOLE, 10])
+def test_replies_over_several_lines(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(landing, "WHOLE", bound)
     raw = tmp_path / "raw"
     one, two = (json.dumps({"data": {"weather": [day(f"2020-12-0{k}", [hour()])]}}, indent=2) for k in (1, 2))
     rows = "{\n\"weather\": [\n" + json.dumps(day("2020-12-01", [hour()])) + "\n]}"
@@ -148,6 +153,34 @@ def test_replies_over_several_lines(spark, tmp_path):
     assert [(r.location, r.text) for r in landing.rejected(documents).collect()] == [("b", two[:-20])]
 
 
+@pytest.mark.parametrize("block", ["64", "257", "5000"])
+def test_documents_in_blocks_of_any_size(spark, tmp_path, monkeypatch, block):
+    """Pretty-printed replies, lines, broken ones and blank lines in one file that many tasks read."""
+    raw, rng = tmp_path / "raw", random.Random(block)
+    parts = []
+    for k in range(40):
+        reply = {"data": {"weather": [day(f"2020-01-{k % 28 + 1:02d}", [hour()], maxtempF=str(k))]}}
+        text = json.dumps(reply, indent=rng.choice([None, 1, 4]))
+        parts.append(text[: len(text) // 2] if k % 9 == 4 else text)
+        parts.append(rng.choice(["\n", "\r\n", "\n\n \t\n"]))
+    land_text(raw, "a", "".join(parts))
+    land_text(raw, "b", "\n \n")
+
+    def rows(bound):
+        monkeypatch.setattr(landing, "WHOLE", bound)
+        documents = landing.read_landing(spark, str(raw))
+        days = weather.clean_days(weather.normalise_days(landing.accepted(documents)))
+        return clean_rows(days), sorted((r.location, r.reason, r.text) for r in landing.rejected(documents).collect())
+
+    whole = rows(landing.WHOLE)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        assert rows(10) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(whole[0]) >= 35 - 9 and whole[1]
+
+
 def test_large_files_are_not_opened_as_a_whole(spark, tmp_path, monkeypatch):
     raw = tmp_path / "raw"
     text = json.dumps(day("2020-12-01", [hour()])) + "\n"
@@ -282,17 +315,42 @@ def test_compaction_goes_on_from_the_last_one(spark, tmp_path):
     assert clean_rows(intake.compact_days(spark, log, base)) == clean_rows(done)  # nothing new
 
 
-def test_batch_run_again_leaves_rows_once(spark, tmp_path):
-    """A run that died before its files were noted starts over under the same number."""
-    raw, log = tmp_path / "raw", tmp_path / "log"
+@pytest.mark.parametrize("part", ["days", "rejected", "files"])
+def test_failed_batch_is_repeated_without_doubling(spark, tmp_path, monkeypatch, part):
+    """A run that dies anywhere in a batch: nothing of it counts, and the stream repeats it under the same number."""
+    raw, log = tmp_path / "raw", str(tmp_path / "log")
     land(raw, "a", day("2020-01-02", [hour()]), "2020-01-02")
-    assert intake.take_in(spark, str(raw), str(log)) == 0
-    for part in (log / "files" / "batch=0").iterdir():
-        part.unlink()
-    (log / "files" / "batch=0").rmdir()
-    assert intake.read_log(spark, str(log)).count() == 0
-    assert intake.take_in(spark, str(raw), str(log)) == 0
-    assert intake.read_log(spark, str(log)).count() == 1
+    land(raw, "b", [1], "2020-01-02")
+    parquet = DataFrameWriter.parquet
+
+    def failing(self, path, *args, **options):
+        parquet(self, path, *args, **options)
+        if f"/{part}/batch=0" in path:
+            raise OSError("lost")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(StreamingQueryException):
+        intake.take_in(spark, str(raw), log)
+    monkeypatch.undo()
+    if part != "files":
+        assert intake.read_log(spark, log).count() == intake.rejected_documents(spark, log).count() == 0
+    land(raw, "a", day("2020-01-03", [hour()]), "2020-01-03")
+    assert intake.take_in(spark, str(raw), log) == intake.STEP
+    assert [d for _, d, _ in clean_rows(intake.read_log(spark, log))] == ["2020-01-02", "2020-01-03"]
+    assert intake.rejected_documents(spark, log).count() == 1
+
+
+def test_second_run_reads_only_new_files(spark, tmp_path, monkeypatch):
+    raw, log = tmp_path / "raw", str(tmp_path / "log")
+    read = []
+    real = intake.read_landing
+    monkeypatch.setattr(intake, "read_landing", lambda spark, root, paths: read.append(len(paths)) or real(spark, root, paths))
+    for n in (2, 3):
+        for k in range(n):
+            land(raw, f"l{n}{k}", day("2020-01-02", [hour()]), "2020-01-02")
+        intake.take_in(spark, str(raw), log)
+    intake.take_in(spark, str(raw), log)
+    assert read == [2, 3]
 
 
 def test_file_overwritten_under_its_name_is_taken_again(spark, tmp_path):
@@ -324,7 +382,7 @@ def test_replies_without_a_day_are_kept_with_the_reason(spark, tmp_path):
     lines = [json.dumps(day("2020-01-03", [hour()])), '{"date": "2020', json.dumps(day("2020-01-04", [hour()]))]
     land(raw, "b", {}, "2020-01-03")
     (raw / "location=b" / "year=2020" / "month=01" / "day=03" / "20200103.json").write_text("\n".join(lines) + "\n")
-    assert intake.take_in(spark, str(raw), log, files_per_batch=3) == 2
+    assert intake.take_in(spark, str(raw), log, files_per_batch=3) == 2 * intake.STEP
     assert [(loc, d) for loc, d, _ in clean_rows(intake.current_days(spark, log))] == [
         ("a", "2020-01-01"), ("b", "2020-01-03"), ("b", "2020-01-04"),
     ]
