@@ -3,12 +3,12 @@
 Sources in code-point order, null last, take the weights in turn and share all words by weight; a target stops at
 `cap` times the words of its source, and what is left over is shared again by weight. A source is thus repeated
 target / words times: each of its documents is taken floor(rate) times, and once more if a number hashed from
-a seed and the document id falls below the fraction. Per source, the first of `SEEDS` seeds that brings its
+a seed, the document's id, its text's checksum and its place among rows equal in both falls below the fraction. Per source, the first of `SEEDS` seeds that brings its
 taken words nearest to the target is used, so reruns agree and small sources stay near their targets.
 
 Defined cases: a null text has no words; a null source is a source of its own, last in order; rows that repeat an
-id share its draw; a source without words has target 0 and is left out of the mix; no rows give no rows;
-helper columns are named with a prefix that columns of the input may clash with only by intent.
+id or have none draw each by itself, equal rows too; a source without words has target 0 and is left out of the mix; texts of any
+length count whole; no rows give no rows; helper columns get a prefix that no column of the input begins with.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.common import small, stored
+from martlake.llm.common import small, stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEEDS = 16
@@ -27,9 +27,9 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draws(id_col: Column) -> Column:
-    """SEEDS numbers from 0 to 2**32 - 1 for each id, four from each MD5."""
-    digests = [F.md5(F.concat(F.lit(f"{k}:"), F.coalesce(id_col.cast("string"), F.lit("")))) for k in range(SEEDS // 4)]
+def draws(key: Column) -> Column:
+    """SEEDS numbers from 0 to 2**32 - 1 for each key, four from each MD5."""
+    digests = [F.md5(F.concat(F.lit(f"{k}:"), key)) for k in range(SEEDS // 4)]
     return F.array(*[F.conv(F.substring(d, 1 + 8 * i, 8), 16, 10).cast("long") for d in digests for i in range(4)])
 
 
@@ -72,11 +72,11 @@ def copies(rate: Column, draw: Column) -> Column:
 
 
 def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
-    """One row per source of (doc_id, source, size) rows: source_size, target, rate, and the seed to draw with."""
+    """One row per source of (key, source, size) rows: source_size, target, rate, and the seed to draw with."""
     targets = small(stored(source_targets(sizes, weights, cap), "mix-targets"))
     s, t = sizes.alias("s"), targets.alias("t")
     drawn = s.join(t, F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        "s.size", "t.*", draws(F.col("s.doc_id")).alias("draws")
+        "s.size", "t.*", draws(F.col("s.key")).alias("draws")
     )
     taken = [
         F.sum(F.col("size") * copies(F.col("rate"), F.col("draws")[k])).cast("double").alias(f"taken{k}")
@@ -88,13 +88,38 @@ def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int =
     return sums.select("source", "source_size", "target", "rate", seed.alias("seed"))
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def keyed(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
+    """The rows with a column `key` to draw by: id, checksum of the text, and the place among rows equal in both.
+
+    Only rows that have an equal are written and numbered, by task and place in it, so a hot group is spread over tasks.
+    """
+    own = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = docs.withColumn(key, own)
+    counts = rows.groupBy(key).count().filter("count > 1").select(F.col(key).alias(f"{key}_again"))
+    again = small(stored(counts, "mix-again"))
+    same = F.col(key) == F.col(f"{key}_again")
+    alone = rows.join(again, same, "left_anti").withColumn(key, F.concat(key, F.lit(":0")))
+    if not again.limit(1).count():
+        return alone
+    part, at, before = f"{key}_part", f"{key}_at", f"{key}_before"
+    equal = stored(rows.join(again, same, "left_semi").withColumn(part, F.spark_partition_id()), "mix-equal")
+    order = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = equal.groupBy(key, part).agg(F.count("*").alias("n"))
+    offsets = offsets.select(key, part, F.coalesce(F.sum("n").over(order), F.lit(0)).alias(before))
+    within = Window.partitionBy(key, part).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    numbered = equal.withColumn(at, F.row_number().over(within) - 1).join(offsets, [key, part])
+    place = (F.col(before) + F.col(at)).cast("string")
+    return alone.unionByName(numbered.withColumn(key, F.concat_ws(":", key, place)).select(*docs.columns, key))
+
+
+def sized(rows: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     return stored(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size")
+        rows.select(
+            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(key).alias("key"),
+            count_words(F.col(text_col)).alias("size"),
         ),
         "mix-sizes",
-    )
+    )
 
 
 def mixed(
@@ -106,10 +131,12 @@ def mixed(
     source_col: str = "source",
 ) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns they came with."""
-    plan = small(stored(mix_plan(sized(docs, id_col, text_col, source_col), weights, cap), "mix-plan"))
-    d, p = docs.alias("d"), plan.alias("p")
-    n = copies(F.col("p.rate"), F.element_at(draws(F.col(f"d.{id_col}")), F.col("p.seed") + 1))
+    key = unused(docs) + "key"
+    rows = keyed(docs, key, id_col, text_col)
+    plan = small(stored(mix_plan(sized(rows, key, id_col, text_col, source_col), weights, cap), "mix-plan"))
+    d, p = rows.alias("d"), plan.alias("p")
+    n = copies(F.col("p.rate"), F.element_at(draws(F.col(f"d.{key}")), F.col("p.seed") + 1))
     joined = d.join(p, F.col(f"d.{source_col}").eqNullSafe(F.col("p.source")))
     # Lines up as many marks as copies (at most cap), and drops the marks again.
-    repeated = joined.select(F.struct("d.*").alias("row"), F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
+    repeated = joined.select(F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row"), F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
     return repeated.select("row.*")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import lean, small, stored
+from martlake.llm.common import lean, small, stored, unused
 from martlake.llm.graph import components, renamed
 from martlake.llm.textbytes import (
     LOWER,
@@ -345,8 +345,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     )
 
 
-def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents with one of each group of near duplicates, the one with the smallest id, with their columns."""
-    judged = near_duplicates(docs, percent)
-    dropped = stored(judged.filter(~F.col("kept")).select("doc_id").distinct(), "neardup-dropped")
-    return docs.join(small(dropped, FETCH), "doc_id", "left_anti").select(*docs.columns)
+def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
+    """The documents with one row of each group of near duplicates, that with the smallest id, with their columns.
+
+    Rows are told apart by a number of their own, so equal rows, rows that share an id and rows without one are compared like
+    all others; an id comes before none, and of equal ids the first in the order of the table. Rows without a word are in
+    no group and stay.
+    """
+    row = unused(docs) + "row"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "neardup-rows")
+    judged = near_duplicates(rows, percent, id_col=row).select(F.col("doc_id").alias("row"), "component_id")
+    judged = stored(judged, "neardup-judged")
+    grouped = judged.groupBy("component_id").count().filter("count > 1").select("component_id")
+    members = judged.join(grouped, "component_id").join(rows.select(F.col(row).alias("row"), F.col(id_col).alias("id")), "row")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+    dropped = members.join(first, "component_id").filter(F.col("row") != F.col("first.row")).select(F.col("row").alias(row))
+    return rows.join(small(stored(dropped, "neardup-dropped"), FETCH), row, "left_anti").select(*docs.columns)

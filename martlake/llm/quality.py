@@ -12,8 +12,8 @@ its base rules keep.
 
 Defined cases: a null text counts as empty and fails the base rules (fewer than 50 words); a null stratum is a
 stratum of its own; rows that repeat an id are judged each by its own text, and an id that is labelled several times
-counts once, as bad if any label says so; null labels are no labels; no labels certify nothing;
-only the named columns are read.
+counts once, as bad if any label says so; so do rows of one labelled id and equal texts, at the largest ratio; null labels are
+no labels; no labels, or no rows, certify nothing; texts of any length are counted whole; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ LOWERCASE = np.array([97 <= b <= 122 for b in range(256)])
 COUNTS = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper n_letters".split()
 )
-FEATURES = "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)
+FEATURES = "doc_id long, stratum string, text_hash long, " + ", ".join(f"{c} long" for c in COUNTS)
 
 #: The ratio of each rule: (name, counted, out of). Large is bad. Each rule more leaves less risk to every other.
 RULES = (
@@ -113,14 +113,17 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = count_batch(batch.column(2))
+            counts = count_batch(batch.column(3))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(counts[c]) for c in COUNTS]],
-                names=["doc_id", "stratum", *COUNTS],
+                [*batch.columns[:3], *[pa.array(counts[c]) for c in COUNTS]],
+                names=["doc_id", "stratum", "text_hash", *COUNTS],
             )
 
     read = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col)
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(stratum_col).cast("string").alias("stratum"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col),
     )
     return read.mapInArrow(lean(run), FEATURES)
 
@@ -171,11 +174,16 @@ def cutoffs(counts: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
         .agg(F.min("quality").alias("quality"))
     )
     holdout = counts.filter(~base_failed()).join(marked, "doc_id")
-    rules = F.explode(
-        F.array(*[F.struct(F.lit(name).alias("rule"), step(a, b).alias("at")) for name, a, b in RULES])
-    )
+    # A trial is a labelled id, and equal texts are one trial, bad if any label says so: else repeated rows would certify cutoffs.
+    steps = [step(a, b).alias(name) for name, a, b in RULES]
+    names = [name for name, _, _ in RULES]
+    worst = [F.max(name).alias(name) for name in names]
+    texts = holdout.select("doc_id", "stratum", "text_hash", "quality", *steps)
+    texts = texts.groupBy("stratum", "text_hash").agg(F.min("doc_id").alias("doc_id"), F.min("quality").alias("quality"), *worst)
+    trials = texts.groupBy("stratum", "doc_id").agg(F.min("quality").alias("quality"), *worst)
+    rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("at")) for name in names]))
     grid = (
-        holdout.select("stratum", "quality", rules.alias("r"))
+        trials.select("stratum", "quality", rules.alias("r"))
         .groupBy("stratum", "r.rule", "r.at")
         .agg(
             F.count(F.when(F.col("quality") > 0, 1)).alias("good"),

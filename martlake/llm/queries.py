@@ -78,10 +78,11 @@ def op4_sql_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = mixing.sized(table(spark, folder, "documents"))
+    rows = table(spark, folder, "documents").select("doc_id", "text", "source")
+    sizes = mixing.sized(mixing.keyed(rows, "key", "doc_id", "text"), "key")
     plan = small(stored(mixing.mix_plan(sizes), "mix-plan"))
     s, p = sizes.alias("s"), plan.alias("p")
-    draw = F.element_at(mixing.draws(F.col("s.doc_id")), F.col("p.seed") + 1)
+    draw = F.element_at(mixing.draws(F.col("s.key")), F.col("p.seed") + 1)
     return s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select(
         "s.doc_id",
         "s.size",
@@ -92,11 +93,13 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _DRAWS = ", ".join(
-    f"('0x' || substr(md5('{k}:' || coalesce(doc_id::VARCHAR, '')), {1 + 8 * i}, 8))::BIGINT" for k in range(mixing.SEEDS // 4) for i in range(4)
+    f"('0x' || substr(md5('{k}:' || key), {1 + 8 * i}, 8))::BIGINT" for k in range(mixing.SEEDS // 4) for i in range(4)
 )
 ORACLES["op5_source_mix"] = f"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    concat_ws(':', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')),
+              row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1) AS key
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -189,7 +189,7 @@ def test_pipeline_stages(spark):
             judged = quality.quality_rules(before, labels).filter("kept")
             assert sorted(kept) == sorted(r.doc_id for r in judged.collect())
         elif name == "mixing sources to target weights":
-            plan = {r.source: r for r in mixing.mix_plan(mixing.sized(before)).collect()}
+            plan = {r.source: r for r in mixing.mix_plan(mixing.sized(mixing.keyed(before, "key", "doc_id", "text"), "key")).collect()}
             words = {s: 0 for s in plan}
             for r in docs.collect():
                 words[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))

@@ -82,6 +82,16 @@ def test_near_duplicates(docs, empty):
     kept = neardup.keep_one(docs, 85)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 9, None}
+    assert sum(r.doc_id == 1 for r in kept.collect()) == 1
+
+
+def test_one_row_of_a_group_stays_whatever_its_id(spark):
+    """Rows with one text: of null ids, of an id that is repeated, and of another one."""
+    prepare(spark)
+    text, other = prose(2, 80), prose(77, 80)
+    rows = [(i, text) for i in (None, None, None, 5, 5, 5, 5, 9)] + [(5, other), (None, None), (None, "")]
+    found = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 80).collect()
+    assert Counter(r.text for r in found) == {text: 1, other: 1, None: 1, "": 1}
 
 
 def test_crowded_buckets(spark, monkeypatch):
@@ -175,6 +185,31 @@ def test_cutoffs_limit_false_rejections():
     assert quality.choose_cutoff(none, bad, 0.05, 0.05) == quality.TOP
 
 
+@pytest.mark.parametrize("same", ["id", "text"])
+def test_repeated_rows_certify_nothing(spark, same):
+    """Two labels in a stratum are two trials, however often their rows or texts are repeated."""
+    prepare(spark)
+    good, bad = prose(5, 80), "# " * 40 + prose(6, 80)
+    rows = [(1 if same == "id" else 100 + k, good, "en") for k in range(600)] + [(2, bad, "en"), (3, "# " + prose(7, 80), "en")]
+    labels = [(r[0], 1) for r in rows[:600]] + [(2, 0)]
+    found = quality.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    )
+    assert found.filter("rejected_by is not null").count() == 0
+
+
+def test_many_labels_certify_a_cutoff(spark):
+    prepare(spark)
+    rows = [(k, prose(k, 80), "en") for k in range(900)] + [(k, "# " * 40 + prose(k, 80), "en") for k in range(900, 1000)]
+    labels = [(k, int(k < 900)) for k in range(1000)]
+    found = quality.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    )
+    assert {r.doc_id for r in found.filter("rejected_by = 'symbols'").collect()} == set(range(900, 1000))
+
+
 def test_shards(spark, docs, empty):
     found = sharding.byte_shards(docs, 3).collect()
     assert Counter((r.doc_id, r.size) for r in found) == Counter((i, len((t or "").encode()) + 1) for i, t, *_ in ROWS)
@@ -201,6 +236,20 @@ def test_mix(spark, docs, empty):
     assert targets == {"a": 74.0, "b": 3.0, "c": 0.0, None: 74.0}
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "equal rows"])
+def test_mix_meets_targets_with_repeated_ids(spark, ids):
+    prepare(spark)
+    text = (lambda k: "a b c") if ids == "equal rows" else (lambda k: f"a b c{k}")
+    rows = [(None if ids == "null" else 7, text(k), "abc"[k % 3]) for k in range(3000)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    taken = Counter(r.source for r in mixing.mixed(rows).collect())
+    # Weights 5, 2 and 1 of 9000 words, in documents of 3.
+    for source, wanted in zip("abc", (1875, 750, 375), strict=True):
+        assert abs(taken[source] - wanted) < 0.05 * wanted
+    assert sum(r.n for r in mixing.keyed(rows, "key", "doc_id", "text").groupBy("key").agg(F.count("*").alias("n")).collect()) == 3000
+    assert mixing.keyed(rows, "key", "doc_id", "text").select("key").distinct().count() == 3000
+
+
 def test_targets_follow_repeated_sharing(spark):
     rng = random.Random(4)
     sizes = {f"s{k:02}": rng.choice([1, 3, 10, 1000, 20_000]) for k in range(17)}
