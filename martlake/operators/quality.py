@@ -44,6 +44,10 @@ def cascade(child: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
     An old key may be given once only.
     """
     require_keys(key_map, ["old"], "key map")
+    return _moved(child, column, key_map)
+
+
+def _moved(child: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
     moved = key_map.select(F.col("old").alias(column), F.col("new").alias("_new"))
     return (
         child.join(moved, column, "left")
@@ -52,6 +56,51 @@ def cascade(child: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
     )
 
 
+def cascade_keys(tables: dict[str, DataFrame], changes: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables after changes of primary keys, followed through every declared foreign key.
+
+    ``changes`` holds (old, new) for tables with a key of one column; it is stored or small, as each child reads it again. A
+    child whose own key holds the column hands the change on to the tables that point at that column. A new key must not be one
+    of another row; that and two rows of one old key stop the call. Tables that are absent are passed over.
+    """
+    found = dict(tables)
+    open_: list[tuple[str, str, DataFrame]] = []
+    for name, key_map in changes.items():
+        key = schemas.PRIMARY_KEYS[name]
+        if len(key) != 1:
+            raise ValueError(f"{name} has a key of several columns; change the tables it points at")
+        require_keys(key_map, ["old"], f"key map of {name}")
+        open_.append((name, key[0], key_map))
+    done = set()
+    for name, key, key_map in open_:
+        if (name, key) not in done and name in found:
+            done.add((name, key))
+            found[name] = _moved(found[name], key, key_map)
+            if schemas.PRIMARY_KEYS.get(name) == [key]:
+                require_keys(found[name], [key], f"{name} after its change")
+        for child, column, parent, parent_key in schemas.FOREIGN_KEYS:
+            if (parent, parent_key) != (name, key) or child not in found or column not in found[child].columns:
+                continue
+            if column in schemas.PRIMARY_KEYS.get(child, []):
+                # Goes on to those that point at the child, which is changed when its turn comes.
+                open_.append((child, column, key_map))
+            elif (child, column) not in done:
+                done.add((child, column))
+                found[child] = _moved(found[child], column, key_map)
+    return found
+
+
+def restrict_keys(tables: dict[str, DataFrame], name: str, removed: DataFrame) -> DataFrame:
+    """Why rows of a table cannot be removed: (key, child, column) for every declared reference that still points at one."""
+    key = schemas.PRIMARY_KEYS[name][0]
+    parts = [
+        check_restrict(removed.select(key), key, tables[child], column).select(key, F.lit(child).alias("child"), F.lit(column).alias("column"))
+        for child, column, parent, parent_key in schemas.FOREIGN_KEYS
+        if (parent, parent_key) == (name, key) and child in tables and column in tables[child].columns
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def check_range(df: DataFrame, column: str, low, high) -> DataFrame:
     """Rows outside the closed range. NULL passes."""
     return df.filter(~F.col(column).between(low, high))

@@ -998,6 +998,46 @@ def quality_cascade(b: Bridge) -> DataFrame:
     return quality.cascade(b.source("orders").select("o_orderkey", "o_custkey"), "o_custkey", moved)
 
 
+@query(
+    """, f AS (SELECT film_id AS old, CASE WHEN film_id % 3 = 0 THEN film_id + 1000000000 ELSE film_id END AS new FROM film),
+       s AS (SELECT staff_id AS old, CASE WHEN staff_id % 2 = 0 THEN staff_id + 2000000000 ELSE staff_id END AS new FROM staff)
+       SELECT 'film' AS name, new AS key, count(*) AS n FROM f GROUP BY 2
+       UNION ALL SELECT 'inventory', new, count(*) FROM inventory JOIN f ON film_id = old GROUP BY 2
+       UNION ALL SELECT 'film_category', new, count(*) FROM film_category JOIN f ON film_id = old GROUP BY 2
+       UNION ALL SELECT 'film_actor', new, count(*) FROM film_actor JOIN f ON film_id = old GROUP BY 2
+       UNION ALL SELECT 'staff', new, count(*) FROM s GROUP BY 2
+       UNION ALL SELECT 'payment', new, count(*) FROM payment JOIN s ON staff_id = old GROUP BY 2
+       UNION ALL SELECT 'rental', new, count(*) FROM rental JOIN s ON staff_id = old GROUP BY 2""",
+    "film", "staff", "inventory", "film_category", "film_actor", "payment", "rental",
+)
+def quality_cascade_all(b: Bridge) -> DataFrame:
+    """New keys of films and staff, followed through all tables that point at them."""
+    changes = {
+        name: df.filter(F.col(key) % every == 0).select(F.col(key).alias("old"), (F.col(key) + shift).alias("new"))
+        for name, df, key, every, shift in (("film", b.film(), "film_id", 3, 1_000_000_000), ("staff", b.staff(), "staff_id", 2, 2_000_000_000))
+    }
+    names = {"film": "film_id", "inventory": "film_id", "film_category": "film_id", "film_actor": "film_id", "staff": "staff_id",
+             "payment": "staff_id", "rental": "staff_id"}
+    moved = quality.cascade_keys({name: getattr(b, name)() for name in names}, changes)
+    parts = [
+        moved[name].groupBy(F.lit(name).alias("name"), F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        for name, key in names.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    """SELECT film_id, 'inventory' AS child, 'film_id' AS "column" FROM film WHERE film_id % 10 = 0 AND film_id IN (SELECT film_id FROM inventory)
+       UNION ALL SELECT film_id, 'film_category', 'film_id' FROM film WHERE film_id % 10 = 0 AND film_id IN (SELECT film_id FROM film_category)
+       UNION ALL SELECT film_id, 'film_actor', 'film_id' FROM film WHERE film_id % 10 = 0 AND film_id IN (SELECT film_id FROM film_actor)""",
+    "film", "inventory", "film_category", "film_actor",
+)
+def quality_restrict_all(b: Bridge) -> DataFrame:
+    """Every reference that keeps a film from being removed."""
+    names = ("film", "inventory", "film_category", "film_actor")
+    return quality.restrict_keys({n: getattr(b, n)() for n in names}, "film", b.film().filter("film_id % 10 = 0"))
+
+
 # Rules whose column or parent table the given tables have no counterpart for.
 ABSENT = """
     ('actor.not_null(last_update)'), ('address.not_null(district)'), ('address.not_null(last_update)'),
@@ -1057,6 +1097,39 @@ def film_fulltext(b: Bridge) -> DataFrame:
     return index.withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), " "))
 
 
+@query(
+    r""", w AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), '  ') || ' ' AS ws
+               FROM documents)
+       SELECT doc_id, CAST((length(ws) - length(replace(ws, ' mit  license ', ''))) // length(' mit  license ') AS BIGINT) AS places
+       FROM w WHERE contains(ws, ' mit  license ')""",
+)
+def phrase_places(b: Bridge) -> DataFrame:
+    """Where two words stand one after the other, from the positions of the index."""
+    index = textindex.token_index(b.source("documents"), "doc_id", ["text"])
+    return textindex.phrase_search(index, "doc_id", "MIT License")
+
+
+KEPT = INDEX.format(key="film_id", text="title || ' ' || description", table="kept")
+
+
+@query(
+    """, kept AS (SELECT film_id, CASE WHEN film_id % 7 = 0 THEN upper(title) || ' again ' || title ELSE title END AS title, description
+                  FROM film WHERE film_id % 11 <> 0)""" + KEPT +
+    "SELECT token, film_id, array_to_string(positions, ' ') AS positions FROM idx", "film"
+)
+def film_index_kept(b: Bridge) -> DataFrame:
+    """The stored index after some films got a new title and others were removed; only their slices are written again."""
+    path = scratch_path(b.spark, "film-kept")
+    text = ["title", "description"]
+    films = b.film()
+    textindex.write_kept_index(textindex.token_index(films, "film_id", text), "film_id", path)
+    changed = films.filter("film_id % 7 = 0 AND film_id % 11 <> 0")
+    changed = changed.withColumn("title", F.concat_ws(" again ", F.upper("title"), "title"))
+    textindex.update_index(b.spark, path, "film_id", changed, text, gone=films.filter("film_id % 11 = 0"))
+    index = textindex.read_kept_index(b.spark, path)
+    return index.select("token", "film_id", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
+
+
 @query(
     FILM_INDEX + """SELECT film_id, CAST(sum(len(positions)) AS BIGINT) AS hits FROM idx WHERE token IN ('widget', 'promo')
        GROUP BY 1 HAVING count(*) = 2""",
