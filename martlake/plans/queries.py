@@ -18,7 +18,7 @@ from martlake import schemas
 from martlake.functions.calendar import date_id, month_bounds
 from martlake.operators import quality, rentals, textindex, upsert, weather
 from martlake.operators.keys import assign_keys, next_key
-from martlake.plans import functions, jobs, reports, snapshots, star
+from martlake.plans import functions, jobs, maintained, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
 from martlake.session import configure, scratch_path
 from martlake.sources import extract, landing, tables
@@ -685,6 +685,87 @@ def extract_roundtrip(b: Bridge) -> DataFrame:
     return extract.read_extract(b.spark, path, films.schema)
 
 
+def _maintained(b: Bridge, name: str) -> DataFrame:
+    """Facts of which the later months are wrong at first and put right by a load."""
+    base, later = scratch_path(b.spark, "maintained"), F.col("date_id") >= 19980101
+    facts = _facts(b)
+    dims = {"sales_facts": facts, "date_dim": _dates(b), "film_dim": star.build_film_dim(b.film())}
+    wrong = F.when(later, F.col("amount") + 1).otherwise(F.col("amount")).cast(facts.schema["amount"].dataType)
+    tables.write_fact_months(facts.withColumn("amount", wrong), f"{base}/facts")
+    maintained.refresh(b.spark, name, f"{base}/facts", dims, f"{base}/sums")
+    months = maintained.replace_facts(b.spark, f"{base}/facts", facts.filter(later))
+    maintained.refresh(b.spark, name, f"{base}/facts", dims, f"{base}/sums", months)
+    return maintained.read_report(b.spark, name, f"{base}/sums")
+
+
+@query(DAILY_AVG, "facts", "date_dim")
+def maintained_daily_average(b: Bridge) -> DataFrame:
+    return _rounded(_maintained(b, "daily_average_sales"))
+
+
+@query(STAR_WEEKLY, "facts", "date_dim")
+def maintained_weekly_rating(b: Bridge) -> DataFrame:
+    return _maintained(b, "weekly_rating_sales")
+
+
+BUCKETS = 16
+MERGED = """, s AS (SELECT film_id, customer_id, staff_id, date_id, CAST(amount + 1 AS DECIMAL(8,2)) AS amount FROM facts WHERE film_id % 3 = 0),
+       m AS (SELECT * FROM facts WHERE film_id % 3 <> 0 UNION ALL SELECT * FROM s)"""
+
+
+def _merged(b: Bridge) -> DataFrame:
+    """Facts dealt by their key, of which every third film's come again, one dearer."""
+    keys, name = schemas.STAR_KEYS["sales_facts"], f"facts_{uuid.uuid4().hex}"
+    facts = tables.write_dealt(_facts(b), name, scratch_path(b.spark, "dealt"), keys, BUCKETS)
+    stage = facts.filter("film_id % 3 = 0").withColumn("amount", (F.col("amount") + 1).cast(facts.schema["amount"].dataType))
+    return tables.merge_dealt(facts, stage, keys, BUCKETS)
+
+
+@query(MERGED + "SELECT * FROM m", "facts")
+def dealt_merge(b: Bridge) -> DataFrame:
+    return _merged(b)
+
+
+@query(MERGED + STAR_WEEKLY.replace("FROM facts", "FROM m"), "facts", "date_dim")
+def dealt_report(b: Bridge) -> DataFrame:
+    """The weekly report over merged facts, stored dealt once more."""
+    path = scratch_path(b.spark, "dealt")
+    facts = tables.write_dealt(_merged(b), f"facts_{uuid.uuid4().hex}", path, schemas.STAR_KEYS["sales_facts"], BUCKETS)
+    return reports.star_weekly_cube(facts, _dates(b), star.build_film_dim(b.film()))
+
+
+@query(
+    """SELECT CAST(payment_date AS DATE) AS day, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM payment
+       WHERE payment_date >= TIMESTAMP '1997-02-10' AND payment_date < TIMESTAMP '1997-05-03' GROUP BY 1""",
+    "payment",
+)
+def payments_between(b: Bridge) -> DataFrame:
+    """Payments of a span of days; the month folders to read follow from the days."""
+    path = scratch_path(b.spark, "payment")
+    payment = b.payment()
+    tables.write_partitioned(payment, path, bounds=("1995-01-01", "2002-01-01"))
+    rows = tables.read_between(b.spark, path, payment.schema, "1997-02-10", "1997-05-03")
+    return rows.groupBy(F.to_date("payment_date").alias("day")).agg(
+        F.count("*").alias("n"), F.sum("amount").cast("decimal(38,2)").alias("total")
+    )
+
+
+@query(
+    """SELECT week_of_year, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM facts JOIN date_dim USING (date_id)
+       WHERE year = 1997 AND week_of_year BETWEEN 10 AND 20 GROUP BY 1""",
+    "facts", "date_dim",
+)
+def facts_of_weeks(b: Bridge) -> DataFrame:
+    """Facts of some weeks of one year; the date dimension picks the month folders."""
+    base = scratch_path(b.spark, "months")
+    facts = _facts(b)
+    tables.write_fact_months(facts, f"{base}/facts")
+    _dates(b).write.parquet(f"{base}/dates")
+    dates = b.spark.read.parquet(f"{base}/dates").filter("year = 1997 AND week_of_year BETWEEN 10 AND 20")
+    joined = tables.join_dates(maintained.read_facts(b.spark, f"{base}/facts", facts.schema), dates)
+    return joined.groupBy("week_of_year").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(38,2)").alias("total"))
+
+
 @query(
     """SELECT strftime(payment_date, '%Y-%m') AS pay_month, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS total
        FROM payment GROUP BY 1""",

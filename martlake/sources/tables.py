@@ -102,6 +102,25 @@ def read_months(spark: SparkSession, path: str, schema: T.StructType, low: str,
     return spark.read.schema(full).parquet(path).filter(F.col("pay_month").between(low, high))
 
 
+def read_between(spark: SparkSession, path: str, schema: T.StructType, low, high, moment: str = "payment_date") -> DataFrame:
+    """Rows from ``low`` to before ``high``, moments as text or dates; the months to read follow from them, as does the row filter."""
+    low, high = (F.lit(x).cast(schema[moment].dataType) for x in (low, high))
+    full = T.StructType([*schema.fields, T.StructField("pay_month", T.StringType())])
+    months = F.col("pay_month").between(F.date_format(low, "yyyy-MM"), F.date_format(high, "yyyy-MM"))
+    rows = spark.read.schema(full).parquet(path)
+    return rows.filter(months & (F.col(moment) >= low) & (F.col(moment) < high)).drop("pay_month")
+
+
+def fact_month() -> Column:
+    """The month of a fact or a date, yyyymm."""
+    return F.expr("date_id div 100").cast("string")
+
+
+def join_dates(facts: DataFrame, dates: DataFrame) -> DataFrame:
+    """Facts in month folders with their dates. Dates that are filtered pick the folders while the query runs."""
+    return facts.join(dates.withColumn(MONTH, fact_month()), [MONTH, "date_id"])
+
+
 def outside_months(df: DataFrame, moment: str = "payment_date", bounds=PAYMENT_RANGE) -> DataFrame:
     """The rows ``write_partitioned`` would refuse."""
     return check_bounds(df, moment, *[F.lit(b).cast("timestamp_ntz") for b in bounds])
@@ -121,18 +140,44 @@ def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_fact_months(df: DataFrame, path: str) -> str:
-    """Facts as ``write_fact`` lays them out, in a folder per month, so that a load can replace the months it touches."""
-    month = F.expr("date_id div 100").cast("string")
+def write_fact_months(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Facts as ``write_fact`` lays them out, in a folder per month, so that a load can replace the months it touches.
+
+    ``overwrite`` replaces the table, ``months`` the months that occur in the data.
+    """
     (
-        df.withColumn(MONTH, month)
+        df.withColumn(MONTH, fact_month())
         .repartitionByRange("date_id", "film_id", "customer_id", "staff_id")
         .sortWithinPartitions("date_id", "film_id")
-        .write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if mode == "months" else "static")
+        .option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
     )
     return path
 
 
+def write_dealt(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A catalog table dealt to buckets by all its keys and sorted by them, one file a bucket.
+
+    Tables dealt alike are joined and merged on these keys where they lie. The keys of a fact as a whole spread evenly, which
+    one of them, such as a hot day, would not.
+    """
+    (
+        df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).format("parquet")
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
+def merge_dealt(target: DataFrame, stage: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Delete-then-insert into a table dealt by ``keys``: only the stage is shuffled, to the target's buckets.
+
+    A NULL key matches nothing.
+    """
+    dealt = stage.select(*target.columns).repartition(buckets, *keys)
+    kept = target.join(dealt.select(*keys), keys, "left_anti").select(*target.columns)
+    return kept.unionByName(dealt)
+
+
 def write_bucketed_fact(df: DataFrame, name: str, path: str, buckets: int) -> None:
     """Facts bucketed by day for joins on the day without a shuffle; for data without a hot day."""
     (
