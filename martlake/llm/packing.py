@@ -12,8 +12,9 @@ rest, which rounding leaves, is laid end to end by length and rank and cut where
 sequences is cut into powers of two, which need no padding.
 So no document is left out, and only the ends of patterns are padded.
 
-Ids come from the tokenizer once for each distinct word of a batch: its pre-tokens never hold white space. A worker
-keeps up to `REMEMBER` words.
+Ids are the tokenizer's, once for each distinct word of a batch: its pre-tokens never hold white space. Plain words of Latin letters
+are merged by the same vocabulary read as ranks, which gives the same ids faster; all others go through the `tokenizers` library.
+A worker keeps up to `REMEMBER` words.
 
 Bounds: the driver holds one row per length and the patterns, whose places are broadcast (at most `size` patterns of at most
 64 different lengths); ranks of lengths are offset by one row per task and length, broadcast if `common.small` says so.
@@ -24,22 +25,26 @@ documents of their own; no rows give no pieces; other columns are left out, name
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlake.llm.align import decode_table
 from martlake.llm.common import lean, small, stored
 from martlake.llm.textbytes import NOT_SPACE, distinct, find_words, gather, pieces
 
 GAP, SLACK, ROUNDS, ENTERING, STALLED = 0.0005, 8, 200, 40, 10
-REMEMBER, TOGETHER = 300_000, 2000
+REMEMBER, TOGETHER, PIECE = 400_000, 2000, 1 << 21
 TINY = 1e-9
 
 
@@ -203,6 +208,40 @@ def powers_of_two(total: int) -> list[int]:
 # Ids of documents.
 
 
+#: Characters that need no normal form but lower case, and whose classes no library disputes.
+PLAIN = r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+"
+#: Fixed value: the pre-tokens of the vocabulary's file.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+END = "\x01"
+
+
+def with_word_ends(model: dict):
+    """The vocabulary as ranks of bytes, in which a byte that no plain word has stands for the end of a pre-token.
+
+    Ids ascend with the merges that make them, so merging by merge order is merging by the lowest id. None if a file is of
+    another kind; then all words go through its own library.
+    """
+    import tiktoken
+
+    bpe, pre = model["model"], model["pre_tokenizer"]
+    split = [p for p in pre.get("pretokenizers", []) if p["type"] == "Split"]
+    kinds = [n["type"] for n in (model["normalizer"] or {}).get("normalizers", [])]
+    suffix = bpe.get("end_of_word_suffix")
+    if not suffix or not split or split[0]["pattern"].get("Regex") != PRE_TOKENS or kinds != ["NFC", "Replace", "Lowercase"]:
+        return None
+    table = decode_table()
+    ranks = {}
+    special = {t["content"] for t in model["added_tokens"]}
+    for name, i in bpe["vocab"].items():
+        if name not in special:
+            ends = name.endswith(suffix)
+            ranks[bytes(table[c] for c in (name.removesuffix(suffix) if ends else name)) + END.encode() * ends] = i
+    merged = [bpe["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in bpe["merges"]]
+    if sorted(ranks.values()) != list(range(len(ranks))) or merged != sorted(set(merged)):
+        return None
+    return tiktoken.Encoding("words", pat_str=rf"[^{END}\n]+{END}|\n", mergeable_ranks=ranks, special_tokens={})
+
+
 class Words:
     """A tokenizer of the `tokenizers` library, and the ids of the words a worker has met."""
 
@@ -212,20 +251,28 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token is found before anything else is done to a text, so it keeps words apart.
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
-        self.between, self.mark = next(iter(special.items()), (None, -1))
+        special = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.plain = re.compile((rf"(?!.*(?:{special}))" if special else "") + PLAIN)
+        with open(path, encoding="utf-8") as file:
+            self.ranked = with_word_ends(json.load(file))
+        self.pre_tokens = regex.compile(PRE_TOKENS)
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, as little-endian unsigned 32-bit numbers."""
-        if self.between is None or any(self.between in w for w in words):
-            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-        text = self.between.join(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-        own = ids != self.mark
-        edges = np.concatenate([[0], np.cumsum(own)[~own], [own.sum()]]) * 4
+        """Ids of each word, as little-endian unsigned 32-bit numbers; plain words in one call."""
+        plain = [self.ranked is not None and self.plain.fullmatch(w) is not None for w in words]
+        found = iter(self._plain([w for w, p in zip(words, plain, strict=True) if p]))
+        rest = [w for w, p in zip(words, plain, strict=True) if not p]
+        others = iter([e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)])
+        return [next(found) if p else np.array(next(others), dtype="<u4").tobytes() for p in plain]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        text = self.pre_tokens.sub(rf"\g<0>{END}", "\n".join(words).lower())
+        ids = np.array(self.ranked.encode_ordinary(text), dtype="<u4")
+        own = ids != self.ranked.encode_single_token("\n")
+        edges = 4 * np.concatenate([[0], np.cumsum(own)[~own], [own.sum()]])
         raw = ids[own].tobytes()
         return [raw[i:j] for i, j in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
 
@@ -265,7 +312,7 @@ def coded(docs: DataFrame, path: str, end_id: int, size: int, id_col: str, text_
         part = TaskContext.get().partitionId()
         seen, whole = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(1), PIECE):
                 found = find_words(piece, piece.data, NOT_SPACE)
                 raw, edges = gather(piece.data, found.start, found.end - found.start)
                 ids, begins = words.ids(raw, edges)

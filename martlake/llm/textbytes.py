@@ -63,7 +63,7 @@ class Words:
     first: np.ndarray  # n + 1 entries: words first[i] to first[i + 1] - 1 are in text i
 
 
-def pieces(column: pa.Array) -> Iterator[Piece]:
+def pieces(column: pa.Array, size: int = PIECE) -> Iterator[Piece]:
     """The texts of a column, null as empty."""
     column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
@@ -74,7 +74,7 @@ def pieces(column: pa.Array) -> Iterator[Piece]:
     data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PIECE, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
         yield Piece(i, j - i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
 
