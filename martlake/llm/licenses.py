@@ -1,9 +1,8 @@
 """License notices: phrases in place, and an exact containment join of text blocks with notice templates.
 
 A block is a line, or, where a line is longer than `SPAN` words, each of its windows of `SPAN` words that start half a
-window apart. Since notices are often wrapped, the windows of the whole text that reach over a line break are blocks
-too; they count for the templates that no line of the text matches, so a notice within one line keeps its line's
-containment. Any `SPAN` / 2 words in a row, which is more than a template has, are in one window. A block matches a template if it holds at least `threshold` of the template's distinct words. The
+window apart. Since notices are often wrapped, the windows of the whole text that reach over a line break are blocks too. Any
+`SPAN` / 2 words in a row, which is more than a template has, are in one window, and every block that matches counts. A block matches a template if it holds at least `threshold` of the template's distinct words. The
 template words are counted over all documents and ordered from rare to frequent; a matching block must hold one of
 the first words of that order (prefix filter), have enough words (length filter), and from the first common
 word on still be able to reach the overlap (positional filter). What passes is compared on full sets, so
@@ -56,6 +55,22 @@ TEMPLATES = (
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("agpl", "GNU Affero General Public License"),
+    ("lgpl", "GNU Lesser General Public License"),
+    (
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted",
+    ),
+    ("isc", "licensed under the ISC License"),
+    ("cc0", "CC0 1.0 Universal"),
+    ("epl", "Eclipse Public License"),
+    *((name.split("-")[0].lower(), f"SPDX-License-Identifier: {name}") for name in ("MIT", "Apache-2.0", "GPL", "LGPL", "AGPL", "MPL-2.0", "EPL", "ISC", "CC0", "BSD")),
 )
 
 THRESHOLD = 0.9
@@ -233,10 +248,8 @@ def scan_texts(texts: pa.Array, join: Join) -> list[pa.Array]:
         for line in np.unique(lines[starts]):
             i, j = np.searchsorted(lines, [line, line + 1])
             matches += [(t, share, int(i) + at, width) for t, share, at, width in join.line(numbers[i:j])]
-        in_line = {(int(words.text[at]), t) for t, _, at, _ in matches}
         for i, j in broken_windows(starts, lines, words):
-            more = join.block(numbers[i:j])
-            matches += [(t, share, i, j - i) for t, share in more if (int(words.text[i]), t) not in in_line]
+            matches += [(t, share, i, j - i) for t, share in join.block(numbers[i:j])]
         for t, share, at, width in matches:
             k = int(words.text[at])
             spans[piece.first + k].append(

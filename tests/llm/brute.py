@@ -71,16 +71,19 @@ def license_row(text, phrases, templates, threshold, span):
                 places.append(i)
                 labels.add(label)
     more, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        own = ALNUM.findall(lower(line))
-        for i in range(0, max(1, len(own) - span // 2), span // 2):
-            block = set(own[i : i + span])
-            for label, template in templates:
-                wanted = set(ALNUM.findall(lower(template)))
-                share = len(wanted & block) / len(wanted)
-                if share >= threshold - 1e-9:
-                    more.add(label)
-                    best = max(best, share)
+    lines = [ALNUM.findall(lower(line)) for line in (text or "").split("\n")]
+    blocks = [own[i : i + span] for own in lines for i in range(0, max(1, len(own) - span // 2), span // 2)]
+    # Windows of the whole text; those within a line are among that line's blocks or parts of them.
+    at = [k for k, own in enumerate(lines) for _ in own]
+    starts = range(0, max(1, len(words) - span // 2), span // 2)
+    blocks += [words[i : i + span] for i in starts if len(set(at[i : i + span])) > 1]
+    sets = [(label, set(ALNUM.findall(lower(template)))) for label, template in templates]
+    for block in map(set, blocks):
+        for label, wanted in sets:
+            share = len(wanted & block) / len(wanted)
+            if share >= threshold - 1e-9:
+                more.add(label)
+                best = max(best, share)
     return (
         len(words),
         len(places),

@@ -380,6 +380,33 @@ def test_license_blocks():
     assert found[1][5] == "mit" and found[3][4] == "apache,gpl"
 
 
+def test_a_wrapped_notice_counts_beside_a_weaker_line():
+    template = licenses.TEMPLATES[1][1]
+    words = template.split()
+    weak = " ".join(words[:22] + ["other"] + words[24:])
+    text = f"{weak}\nsomething else\n" + "\n".join(textwrap.wrap(template, 60))
+    join = licenses.Join(licenses.TEMPLATES, {}, licenses.THRESHOLD)
+    spans = [s for s in licenses.scan_texts(pa.array([text]), join)[7].to_pylist()[0] if s["template"] == 1]
+    assert max(s["containment"] for s in spans) == 1.0 > min(s["containment"] for s in spans)
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("SPDX-License-Identifier: ISC", "isc"),
+        ("// SPDX-License-Identifier: Apache-2.0", "apache"),
+        ("CC0 1.0 Universal", "cc0"),
+        ("under the terms of the GNU Affero General\n * Public License as published", "agpl,gpl"),
+        ("the GNU Lesser General Public License", "gpl,lgpl"),
+        ("the GNU General Public License", "gpl"),
+        ("SPDX is a format. A license needs an identifier.", ""),
+    ],
+)
+def test_more_licenses(text, label):
+    join = licenses.Join(licenses.TEMPLATES, {}, licenses.THRESHOLD)
+    assert licenses.scan_texts(pa.array([text]), join)[5].to_pylist() == [label]
+
+
 @pytest.mark.parametrize("prefix", ["", " * ", "# ", "REM "])
 @pytest.mark.parametrize("before", [0, 3, 31, 32, 63, 64, 200])
 def test_wrapped_notices(prefix, before):
