@@ -16,7 +16,8 @@ feeds. Scripts, styles and other elements without page text are never read as te
 
 Defined cases: null and empty html, and pages without content, give an empty text; unclosed elements last to the end
 of what can hold them, unclosed comments and scripts to the end of the page; a `<` that opens no tag is text;
-rows that repeat an id are extracted each by itself; only the id, url and html are read.
+rows that repeat an id are extracted each by itself; pages of any length are read whole, each in one task; an empty table gives
+no rows; only the id, url and html are read.
 """
 
 from __future__ import annotations

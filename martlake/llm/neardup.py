@@ -17,7 +17,8 @@ or dropped by its sketch, or decided on full sets.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; a null id takes no part and is its
 own row with a null component; rows that repeat an id are one document, linked by any of its texts; equal texts and
-equal sets are linked; an empty table gives no rows; only the id and the text are read.
+equal sets are linked; texts of any length give all their shingles; an empty table gives no rows; only the id and the text are
+read.
 """
 
 from __future__ import annotations

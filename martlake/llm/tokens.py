@@ -11,7 +11,8 @@ Memory is bounded: words go to the query in groups of `WORDS` and `WORD_BYTES`,
 `TOKENS`, and the words a task remembers are forgotten beyond `REMEMBER`; a lost task starts again from its texts.
 
 Defined cases: null and empty texts have no tokens and decode to nothing; there are no special tokens, their strings
-are ordinary text; repeated rows are encoded each by itself; only the text column is read besides those carried along.
+are ordinary text; repeated rows are encoded each by itself; texts of any length are encoded
+whole; an empty table gives no rows; only the text column is read besides those carried along.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ the driver sees how often each saving occurs in them. Of the half that the dicti
 Labels, language, source and id are not read when a text is scored. Defined cases: null and empty texts have no
 windows and get the score of a text without evidence; an id that is labelled several times counts as toxic if any
 label says so; null labels are left out; without texts of both classes every score is 0; rows that repeat an id
-are scored each by its own text.
+are scored each by its own text; texts of any length are scored whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

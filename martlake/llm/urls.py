@@ -12,8 +12,8 @@ Everything is DataFrame work: windows are exploded, counted with partial sums, a
 
 Defined cases: a null URL or one without `://` has an empty host and path, fits no rule, has no score and is allowed;
 without accepted and rejected examples there is no score and what no rule fits is allowed; characters that a
-model has not seen keep a uniform share; rows that repeat an id are judged each by its own URL; an empty
-table gives no rows; only the id and the URL are read.
+model has not seen keep a uniform share; rows that repeat an id are judged each by its own URL; URLs of any
+length are scored whole; an empty table gives no rows; only the id and the URL are read.
 """
 
 from __future__ import annotations
