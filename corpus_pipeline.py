@@ -3,6 +3,11 @@
 Each stage is one of the corpus operators, works on everything its predecessor kept, and returns the columns of the
 documents; the last returns the tokens of each document of the mix. `run` writes every stage below the shared
 folder and reads it back, so a lost executor costs no more than the stage it was busy with.
+
+Defined cases, for every stage: a null or empty text passes the toxicity stage on its own score and falls to the base rules of the
+quality stage; rows that repeat an id or have none are rows of their own, of near duplicates among them one stays; texts of any
+length are read whole; without labels nothing is learnt and only base rules reject; an empty table gives no rows; other columns are
+carried along up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
