@@ -1,21 +1,29 @@
 """Main text of web pages by the ratios of their tag paths.
 
 A page is read into text nodes, each with the path of open elements from the root to it (name, and id and classes
-where present; plain elements of the line, such as bold text, are no step of a path). Per path, text length, punctuation and the part inside links are summed over its nodes; the path's
-ratio is the mean text per node weighted by punctuation and by the share outside links. Ratios are smoothed with
-a Gaussian over the paths in page order, so a short heading between long paragraphs rises and a stray sentence
-between menus falls, and fused with what the path's names say: an article or main element, or a class or id with such a
-word, adds evidence, elements and classes of menus, notices, adverts, forms and the like outweigh any ratio. The
-paths whose fused score passes the threshold are content, and what stands among them without being links for the
-most part. Where a page names its article, only the article's paths can be content, and all of them are, by their evidence:
-that is where article or main elements hold text, or elements with such classes hold most of the text outside
-boilerplate and links. All text of content paths is kept.
+where present; plain elements of the line, such as bold text, are no step of a path). Per path, text length, punctuation
+and the part inside links are summed over its blocks; the path's ratio is the mean text per block weighted by punctuation
+and by the share outside links, as a logarithm. Ratios are smoothed with a Gaussian over the paths in page order, so a short
+heading between long paragraphs rises and a stray sentence between menus falls, and fused with what names say: an article or
+main element, or a class or id with such a word, adds up to `EVIDENCE`, in proportion to the page's text that lies in such
+elements (all of it from one half on), so a teaser that calls itself an article decides nothing; classes and ids of
+menus, notices, adverts, comments and the like take `AGAINST` off. Both are bounded, and a ratio can outweigh them.
+
+One threshold decides every page: the fused score that paths with at least `SHARE` of the page's text reach, less `DROP`, and
+never below zero. Paths above it are content. The innermost container (no paragraph, heading or list item) that holds
+`MOST` of their text is completed: paths in it that no name speaks against and that are not links for the most part
+belong to it, such as a list of single words. All text of content paths is kept.
+
+Navigation, footer, aside and menu elements, scripts, styles and other elements without page text are never content. A form is
+left out unless it holds most of the page's text, as where it frames the whole page.
 
 Blocks are separated by block elements; white space within a block becomes one space, blocks are joined by two line
-feeds. Scripts, styles and other elements without page text are never read as text.
+feeds.
 
-Defined cases: null and empty html, and pages without content, give an empty text; unclosed elements last to the end
-of what can hold them, unclosed comments and scripts to the end of the page; a `<` that opens no tag is text;
+Time and memory are linear in the page: a path is its parent's number and one step, open elements are found by name, and a
+tag's end is looked for once. Defined cases: null and empty html, and pages without content, give an empty text; unclosed
+elements last to the end of what can hold them, unclosed comments and scripts to the end of the page; a `<` that opens no tag is
+text, and so is all that follows the page's last `>`; from a tag on whose quotes never close, tags end at their next `>`;
 rows that repeat an id are extracted each by itself; pages of any length are read whole, each in one task; an empty table gives
 no rows; only the id, url and html are read.
 """
@@ -34,9 +42,10 @@ from pyspark.sql import functions as F
 
 from martlake.llm.common import lean
 
-TAG = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.DOTALL
-)
+#: What may start at a `<`, a tag's name, and what ends a comment.
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+COMMENT_END = re.compile(r"--!?>")
+OUTSIDE = re.compile(r"[>\"']")
 #: An attribute with its value, which is consumed whole, so that words in quoted values are not taken for names.
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]++))?""")
 READ = set("id class role hidden style".split())
@@ -48,7 +57,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp noembed noframes iframe".split())
 UNSHOWN = set(
     "head script style textarea title noscript template iframe object embed applet svg math canvas audio video map"
-    " select option button datalist input label fieldset legend form dialog xmp noembed noframes".split()
+    " select option button datalist input label fieldset legend dialog xmp noembed noframes".split()
 )
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span"
@@ -63,6 +72,9 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+PARAGRAPH = {"table", "td", "th", "article", "main", "body", "section", "div"}
+#: Blocks of text, which contain no other blocks of an article.
+LEAVES = set("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote figcaption caption".split())
 
 #: What names of elements, ids, classes and roles say about their content.
 ASIDE = set("nav footer aside menu".split())
@@ -74,20 +86,21 @@ BOILERPLATE = set(
     " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription"
     " signup login search form share sharing social complementary contentinfo".split()
 )
-CONTENT = {"article", "main"}
-#: An article or main element, and an element whose id, class or role only holds such a word.
-ELEMENT, NAMED = 2.0, 1.0
+CONTENT = {"article", "main", "story"}
 HEADS = {"header", "masthead", "banner"}
 #: Classes such as "with-sidebar" speak of what stands beside an element.
 QUALIFIED = {"with", "has", "no", "without"}
 
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
-#: Smoothing width in paths, evidence of names, and the score a path must pass.
-SIGMA, EVIDENCE, AGAINST, LEAST = 1.0, 6.0, 40.0, 3.0
+#: Smoothing width in paths, and the most that names add to a score or take off it.
+SIGMA, EVIDENCE, AGAINST = 1.0, 4.0, 5.0
+#: The share of the page's text whose score sets the threshold, what a path may stay below it, and the share of the content's
+#: text that its container holds. Text that names speak against counts `DOUBTED` of its length for the first.
+SHARE, DROP, MOST, DOUBTED = 0.2, 3.0, 0.8, 0.25
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     path: int
     block: int
@@ -95,15 +108,47 @@ class Node:
     linked: bool
 
 
-@dataclass
+@dataclass(slots=True)
+class Path:
+    parent: int
+    name: str
+    kind: int  # what names say: 1 content, -1 boilerplate
+    form: bool
+
+
+@dataclass(slots=True)
 class Open:
     name: str
-    path: tuple[str, ...]
+    path: int
     shown: bool
-    kind: float  # evidence of the names so far: ELEMENT or NAMED content, < 0 boilerplate
     linked: bool
 
 
+class Elements:
+    """The open elements, found by name without a walk through them."""
+
+    def __init__(self):
+        self.stack = [Open("", 0, True, False)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Open) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def pop(self) -> None:
+        self.places[self.stack.pop().name].pop()
+
+    def last(self, names: set[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def close(self, names: set[str], borders: set[str]) -> None:
+        """Close the last open element of these names with all in it, unless a border lies in between."""
+        at = self.last(names)
+        if at > self.last(borders):
+            while len(self.stack) > at:
+                self.pop()
+
+
 def name_words(attributes: str) -> tuple[set[str], bool]:
     """Words of id, class and role, and whether the element is hidden."""
     words: set[str] = set()
@@ -121,111 +166,183 @@ def name_words(attributes: str) -> tuple[set[str], bool]:
     return words - {""}, hidden
 
 
-def read_nodes(page: str) -> tuple[list[Node], list[tuple[tuple[str, ...], float]]]:
-    """Text nodes in page order, and the paths they refer to with the evidence of their names."""
+def tags(page: str) -> Iterator[tuple[int, int, re.Match | None]]:
+    """Start and end of every tag, and its name; comments and declarations have none.
+
+    Who reads an element as raw text sends the place to go on from.
+    """
+    last, at, quoted = page.rfind(">"), 0, True
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        name = None
+        if page.startswith("<!--", start):
+            found = COMMENT_END.search(page, start + 2)
+            end = found.end() if found else len(page)
+        elif start > last:
+            # No tag ends any more; only an open comment could still follow.
+            start = page.find("<!--", start)
+            if start >= 0:
+                yield start, len(page), None
+            return
+        elif page.startswith(("<!", "<?"), start):
+            end = page.find(">", start) + 1
+        elif name := NAME.match(page, start):
+            end = tag_end(page, name.end()) if quoted else 0
+            if not end:
+                quoted, end = False, page.find(">", start) + 1
+        else:
+            continue
+        at = (yield start, end, name) or end
+
+
+def tag_end(page: str, at: int) -> int:
+    """Behind the next `>` outside quotes, or 0 without one."""
+    while found := OUTSIDE.search(page, at):
+        if found[0] == ">":
+            return found.end()
+        at = page.find(found[0], found.end()) + 1
+        if not at:
+            return 0
+    return 0
+
+
+def read_nodes(page: str) -> tuple[list[Node], list[Path]]:
+    """Text nodes in page order, and the paths they refer to; a path comes after its parent."""
     nodes: list[Node] = []
-    paths: dict[tuple[tuple[str, ...], float], int] = {}
-    stack = [Open("", (), True, 0.0, False)]
+    paths = [Path(0, "", 0, False)]
+    numbers: dict[tuple[int, str], int] = {}
+    elements = Elements()
     block = at = 0
 
     def add(text: str) -> None:
-        top = stack[-1]
+        top = elements.stack[-1]
         if text and top.shown:
-            key = (top.path, top.kind)
-            nodes.append(Node(paths.setdefault(key, len(paths)), block, entities.unescape(text), top.linked))
-
-    def close(names: set[str], borders: set[str]) -> bool:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                del stack[k:]
-                return True
-            if stack[k].name in borders:
-                return False
-        return False
-
-    while True:
-        tag = TAG.search(page, at)
-        if not tag:
-            add(page[at:])
-            break
-        add(page[at : tag.start()])
-        at = tag.end()
-        if not tag[2]:
-            continue
-        name = tag[2].lower()
-        if name not in INLINE:
-            block += 1
-        if tag[1]:
-            if name == "br":
-                nodes.append(Node(nodes[-1].path, block, " ", False)) if nodes else None
-            elif name == "p":
-                close({"p"}, {"table", "td", "th", "article", "main", "body", "section", "div"})
-            else:
-                close({name}, {"body"} if name != "html" else set())
-            continue
-        if name == "br":
-            add(" ")
-            continue
-        if name in VOID:
-            continue
-        if name not in INLINE:
-            close({"p"}, {"table", "td", "th", "article", "main", "body", "section", "div", "blockquote", "li"})
-        if name in CLOSES:
-            close(*CLOSES[name])
-        words, hidden = name_words(tag[3])
-        above = stack[-1]
-        step = ".".join([name, *sorted(words)])
-        kind = above.kind
-        said = set() if name in ("html", "body") or words & QUALIFIED else words & BOILERPLATE
-        if kind > 0 or name in CONTENT:
-            said -= HEADS  # an article has a heading of its own
-        if name in ASIDE or said or (name == "header" and kind <= 0):
-            kind = -1.0
-        elif kind >= 0 and (name in CONTENT or words & CONTENT):
-            kind = max(kind, ELEMENT if name in CONTENT else NAMED if name not in ("html", "body") else 0.0)
-        shown = above.shown and name not in UNSHOWN and not hidden
-        path = above.path if name in INLINE and not words else (*above.path, step)
-        stack.append(Open(name, path, shown, kind, above.linked or name == "a"))
-        if tag[3].rstrip().endswith("/") and name in RAW:
-            stack.pop()
-        elif name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(page, at)
-            at = end.end()
-            stack.pop()
-    return nodes, list(paths)
-
-
-def content_paths(nodes: list[Node], paths: list[tuple[tuple[str, ...], float]]) -> np.ndarray:
+            nodes.append(Node(top.path, block, entities.unescape(text), top.linked))
+
+    def step(above: int, name: str, words: set[str]) -> int:
+        key = (above, ".".join([name, *sorted(words)]))
+        if key not in numbers:
+            kind = paths[above].kind
+            said = set() if name in ("html", "body") or words & QUALIFIED else words & BOILERPLATE
+            if kind > 0 or name in CONTENT:
+                said -= HEADS  # an article has a heading of its own
+            if name == "form":
+                said -= {"form"}
+            if said or (name == "header" and kind <= 0):
+                kind = -1
+            elif kind == 0 and name not in ("html", "body") and (name in CONTENT or words & CONTENT):
+                kind = 1
+            numbers[key] = len(paths)
+            paths.append(Path(above, name, kind, paths[above].form or name == "form"))
+        return numbers[key]
+
+    scan = tags(page)
+    place = next(scan, None)
+    while place:
+        start, end, tag = place
+        add(page[at:start])
+        at = end
+        raw = None
+        if tag:
+            name = tag[2].lower()
+            if name not in INLINE:
+                block += 1
+            if tag[1]:
+                if name == "br":
+                    if nodes:
+                        nodes.append(Node(nodes[-1].path, block, " ", False))
+                elif name == "p":
+                    elements.close({"p"}, PARAGRAPH)
+                else:
+                    elements.close({name}, {"body"} if name != "html" else set())
+            elif name == "br":
+                add(" ")
+            elif name not in VOID:
+                if name not in INLINE:
+                    elements.close({"p"}, PARAGRAPH | {"blockquote", "li"})
+                if name in CLOSES:
+                    elements.close(*CLOSES[name])
+                attributes = page[tag.end() : end - 1]
+                if name in RAW:
+                    if not attributes.rstrip().endswith("/"):
+                        found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+                        raw = at = (page.find(">", found.end()) + 1 if found else 0) or len(page)
+                else:
+                    words, hidden = name_words(attributes)
+                    above = elements.stack[-1]
+                    path = above.path if name in INLINE and not words else step(above.path, name, words)
+                    shown = above.shown and name not in UNSHOWN and name not in ASIDE and not hidden
+                    elements.push(Open(name, path, shown, above.linked or name == "a"))
+        try:
+            place = scan.send(raw)
+        except StopIteration:
+            place = None
+    add(page[at:])
+    return nodes, paths
+
+
+def smoothed(values: np.ndarray) -> np.ndarray:
+    """A Gaussian mean over neighbours."""
+    reach = int(3 * SIGMA)
+    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
+    n = len(values)
+    return np.convolve(values, kernel)[reach : reach + n] / np.convolve(np.ones(n), kernel)[reach : reach + n]
+
+
+def content_paths(nodes: list[Node], paths: list[Path]) -> np.ndarray:
     """Which paths are content."""
     n = len(paths)
     length, marks, linked, count = (np.zeros(n) for _ in range(4))
+    block = np.full(n, -1)
+    order: dict[int, None] = {}
     for node in nodes:
         text = node.text.strip()
         if text:
+            order[node.path] = None
             length[node.path] += len(text)
             marks[node.path] += len(PUNCTUATION.findall(text))
             linked[node.path] += len(text) if node.linked else 0
-            count[node.path] += 1
-    used = np.maximum(count, 1)
-    ratio = np.log1p((length / used) * (1 + marks / used) * (1 - linked / np.maximum(length, 1)))
-    # Paths are numbered as they first appear, so neighbours are near each other on the page.
-    reach = int(3 * SIGMA)
-    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
-    smooth = np.convolve(ratio, kernel)[reach : reach + n] / np.convolve(np.ones(n), kernel)[reach : reach + n]
-    kind = np.array([k for _, k in paths])
-    fused = np.maximum(smooth, ratio) + EVIDENCE * (kind > 0) - AGAINST * (kind < 0)
-    plain = (length - linked) * (kind >= 0)
-    if length[kind == ELEMENT].sum() > 0 or plain[kind > 0].sum() > plain.sum() / 2:
-        return (kind > 0) & (fused > LEAST)  # the page names its article
-    open_ = (length > 0) & ((kind > 0) | ((kind == 0) & (linked <= length / 2)))
-    strong = open_ & (fused > LEAST)
+            count[node.path] += block[node.path] != node.block
+            block[node.path] = node.block
+    content = np.zeros(n, dtype=bool)
+    kind, form = np.array([p.kind for p in paths]), np.array([p.form for p in paths])
+    plain = length - linked
+    if plain[form].sum() <= plain.sum() / 2:
+        plain[form] = 0
+        used = np.array([p for p in order if not form[p]], dtype=int)
+    else:
+        used = np.array(list(order), dtype=int)
+    if not plain.sum():
+        return content
+    # Paths in the order in which their text appears, so neighbours are near each other on the page.
+    ratio = np.log1p(plain[used] / count[used] * (1 + marks[used] / count[used]) * (plain[used] / length[used]))
+    named = plain[kind > 0].sum() / max(plain[kind >= 0].sum(), 1)
+    evidence = EVIDENCE * min(1.0, 2 * named) * (kind[used] > 0) - AGAINST * (kind[used] < 0)
+    fused = np.maximum(smoothed(ratio), ratio) + evidence
+    mass = plain[used] * np.where(kind[used] < 0, DOUBTED, 1.0)
+    falling = np.argsort(-fused, kind="stable")
+    reached = np.searchsorted(np.cumsum(mass[falling]), SHARE * mass.sum())
+    least = max(fused[falling[min(reached, len(used) - 1)]] - DROP, 0.0)
+    mostly_text = linked[used] <= length[used] / 2
+    strong = (fused > least) & mostly_text
+    # A title may be a link.
+    strong |= (fused > least) & (kind[used] > 0)
+    content[used[strong]] = True
     if not strong.any():
-        return open_
-    # What stands among the strong paths, such as a short list, belongs to them.
-    chosen = [path for (path, _), s in zip(paths, strong, strict=True) if s]
-    region = next((k for k, steps in enumerate(zip(*chosen)) if len(set(steps)) > 1), min(map(len, chosen)))
-    within = np.array([path[:region] == chosen[0][:region] for path, _ in paths])
-    return open_ & within
+        return content
+
+    within = np.where(content, plain, 0.0)
+    for k in range(n - 1, 0, -1):
+        within[paths[k].parent] += within[k]
+    inner = int(np.flatnonzero(within >= MOST * within[0])[-1])
+    while paths[inner].name in LEAVES:
+        inner = paths[inner].parent
+    inside = np.zeros(n, dtype=bool)
+    inside[inner] = True
+    for k in range(inner + 1, n):
+        inside[k] = inside[paths[k].parent]
+    content[used[inside[used] & (kind[used] >= 0) & (mostly_text | (kind[used] > 0))]] = True
+    return content
 
 
 def main_text(page: str | None) -> str:

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -122,3 +123,66 @@ def markov_score(subject, accepted, rejected, order, characters, start):
         for i in range(order, len(padded))
     ]
     return sum(ratios) / len(ratios)
+
+
+class Leaves(HTMLParser):
+    """Texts of balanced markup, each with its whole path of (name, class) steps."""
+
+    def __init__(self, page: str):
+        super().__init__()
+        self.open, self.texts = [], []
+        self.feed(page)
+
+    def handle_starttag(self, name, attributes):
+        self.open.append((name, dict(attributes).get("class", "")))
+        self.texts.append(None)
+
+    def handle_endtag(self, name):
+        assert self.open.pop()[0] == name
+        self.texts.append(None)
+
+    def handle_data(self, text):
+        if text.strip():
+            self.texts.append((tuple(self.open), text.strip()))
+
+
+def tag_path_text(page: str, words: dict[str, int], sigma, evidence, against, share, drop, most) -> str:
+    """Content by the ratios of tag paths, every sum taken anew; a div's text stands in p and a elements. Words: 1 for, -1 against."""
+    texts = [x for x in Leaves(page).texts if x]
+    order = list(dict.fromkeys(path for path, _ in texts))
+    of = {path: [t for q, t in texts if q == path] for path in order}
+
+    def says(path):
+        for name, word in path:
+            if words.get(word, 0) < 0:
+                return -1
+        return int(any(name == "article" or words.get(word, 0) > 0 for name, word in path))
+
+    def plain(path):
+        return 0 if any(name == "a" for name, _ in path) else sum(map(len, of[path]))
+
+    def ratio(path):
+        marks = sum(t.count(c) for t in of[path] for c in ".,;:!?")
+        return math.log(1 + plain(path) / len(of[path]) * (1 + marks / len(of[path])))
+
+    if not any(map(plain, order)):
+        return ""
+    fair = sum(plain(p) for p in order if says(p) >= 0)
+    named = sum(plain(p) for p in order if says(p) > 0) / max(fair, 1)
+    score = {}
+    for i, path in enumerate(order):
+        near = [(math.exp(-0.5 * ((i - j) / sigma) ** 2), ratio(q)) for j, q in enumerate(order) if abs(i - j) <= 3 * sigma]
+        smooth = sum(w * r for w, r in near) / sum(w for w, _ in near)
+        names = evidence * min(1, 2 * named) if says(path) > 0 else against * min(says(path), 0)
+        score[path] = max(smooth, ratio(path)) + names
+    mass = {p: plain(p) * (0.25 if says(p) < 0 else 1) for p in order}
+    top = max(s for s in score.values() if sum(m for p, m in mass.items() if score[p] >= s) >= share * sum(mass.values()))
+    chosen = {p for p in order if score[p] > max(top - drop, 0) and (plain(p) or says(p) > 0)}
+    total = sum(map(plain, chosen))
+    heads = sorted({p[:k] for p in chosen for k in range(len(p) + 1)}, key=len)
+    inner = [h for h in heads if sum(plain(p) for p in chosen if p[: len(h)] == h) >= most * total][-1] if chosen else ()
+    while inner and inner[-1][0] in ("p", "h1", "li"):
+        inner = inner[:-1]
+    if chosen:
+        chosen |= {p for p in order if p[: len(inner)] == inner and says(p) >= 0 and (plain(p) or says(p) > 0)}
+    return "\n\n".join(t for p, t in texts if p in chosen)

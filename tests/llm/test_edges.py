@@ -2,6 +2,7 @@
 
 import random
 import textwrap
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from brute import binomial_below, license_row, near_components, quality_counts, shingles
+from brute import Leaves, binomial_below, license_row, near_components, quality_counts, shingles, tag_path_text
 from martlake.llm import graph, html, licenses, mixing, neardup, quality, sharding, tokens, toxicity, urls, vectors
 from martlake.llm.common import prepare
 
@@ -357,6 +358,74 @@ def test_main_text_edges(spark):
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in found) == [("1", "", 0), ("1", "", 0), ("None", "Text, and text.", 15)]
 
 
+STORY = "<p>A long paragraph of the story, with commas, that goes on for some time. It has sentences, too.</p>" * 3
+
+
+def test_ratios_outweigh_names():
+    told = "\n\n".join(STORY[3:-4].split("</p><p>"))
+    assert html.main_text(f"<body><article><h3>Teaser one</h3></article><div>{STORY}</div>").endswith(told)
+    assert html.main_text(f'<form id="aspnetForm"><nav>One</nav><div><article>{STORY}</article></div></form>') == told
+    assert html.main_text(f"<article>{STORY}</article><form><p>Subscribe, please.</p></form>") == told
+    for name in ("share-price story", "legal-news", "notice"):
+        page = f'<body><nav><a href="/">Home</a></nav><div class="{name}">{STORY}</div><footer>All rights, reserved.</footer>'
+        assert html.main_text(page) == told
+    comments = '<div class="comments">' + STORY * 4 + "</div>"
+    assert html.main_text(f"<body><div><h1>Heading</h1>{STORY}</div>{comments}") == "Heading\n\n" + told
+    assert html.main_text('<body><ul><li><a href="/">Home</a><li><a href="/x">News, all of them</a></ul>') == ""
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000,
+        "<!x" * 350_000,
+        "<!--" * 250_000,
+        "<div>word " * 100_000,
+        "<ul>word " * 100_000,
+        '<a ">" ' * 150_000 + '"',
+        "<script>" + "</script " * 100_000,
+        "< " * 300_000 + ">",
+        "<b>" * 300_000 + "x",
+    ],
+    ids=range(9),
+)
+def test_broken_pages_take_linear_time(page):
+    begun = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - begun < 30
+
+
+def test_tags_end():
+    assert html.main_text('<p title="a > b">Shown, yes.</p>') == "Shown, yes."
+    assert html.main_text('<p title="a>Shown, yes.</p><p id=x>Also, this.</p>') == "Shown, yes.\n\nAlso, this."
+    assert html.main_text("<p>Shown, 1 < 2 <b") == "Shown, 1 < 2 <b"
+    assert html.main_text("<p>Shown, yes.<!-- <p>gone") == "Shown, yes."
+    assert html.main_text("<p>Shown, yes.</p> <a <!-- gone") == "Shown, yes.\n\n<a"
+
+
+def test_paths_are_chosen_by_their_ratios():
+    rng = random.Random(5)
+    words = {"ad": -1, "comments": -1, "story": 1, "": 0, "box": 0, "x": 0}
+
+    def blocks():
+        for _ in range(rng.randint(1, 4)):
+            text = " ".join(rng.choice(["word", "text,", "end.", "other"]) for _ in range(rng.choice([1, 3, 30, 80])))
+            yield rng.choice(["<p>%s</p>", "<h1>%s</h1>", "<p>%s</p>", '<p class="x">%s</p>', "<ul><li>%s</li></ul>", "<div><a>%s</a></div>"]) % text
+
+    def part(depth):
+        inner = "".join(part(depth - 1) for _ in range(rng.randint(1, 3))) if depth else "".join(blocks())
+        name = rng.choice(["div", "div", "div", "article"])
+        return f'<{name} class="{rng.choice(list(words))}">{inner}</{name}>'
+
+    chosen = 0
+    for _ in range(400):
+        page = f"<body>{part(rng.randint(0, 2))}{part(1)}</body>"
+        wanted = tag_path_text(page, words, html.SIGMA, html.EVIDENCE, html.AGAINST, html.SHARE, html.DROP, html.MOST)
+        assert html.main_text(page) == wanted
+        chosen += 0 < len(wanted) < len(" ".join(t for _, t in filter(None, Leaves(page).texts)))
+    assert chosen > 200
+
+
 def test_licenses(docs, empty):
     found = licenses.license_scan(docs).collect()
     wanted = Counter(license_row(t, licenses.PHRASES, licenses.TEMPLATES, licenses.THRESHOLD, licenses.SPAN) for _, t, *_ in ROWS)
