@@ -9,7 +9,8 @@ features are its largest savings, the number and share of windows that save more
 mean saving, and the number of windows, since the largest of many is large by chance; a logistic curve fitted on
 labelled texts that the dictionaries have not seen turns them into a score, moved so that at most `FALSE_ALARMS` of
 the ordinary ones reach one half. Those texts are compressed whole, in tasks and window by window as all others are;
-the driver sees how often each saving occurs in them. Of the half that the dictionaries are trained on it holds the texts.
+the driver sees how often each saving occurs in them. Of the half that the dictionaries are trained on it holds the texts,
+and every window of an ordinary one is a sample of its dictionary.
 
 Labels, language, source and id are not read when a text is scored. Defined cases: null and empty texts have no
 windows and get the score of a text without evidence; an id that is labelled several times counts as toxic if any
@@ -36,8 +37,6 @@ from martlake.llm.textbytes import LOWER, pieces
 WINDOW, STRIDE = 6, 3
 #: Texts per class in the sample that dictionaries and curve are fitted on, and the tasks its curve's half is spread over.
 DOCS, TASKS = 3000, 24
-#: Windows of an ordinary text, evenly from all over it, that its dictionary is trained on.
-DRAWN = 64
 #: Sizes of the dictionaries' own content, and the compression level.
 TOXIC_SIZE, ORDINARY_SIZE, LEVEL = 2048, 8192, 6
 #: Length of the byte strings that are compared between the classes, and the log odds ratio by which those that mark
@@ -162,13 +161,6 @@ def dictionary(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[:size]
 
 
-def drawn(parts: list[bytes]) -> list[bytes]:
-    """At most `DRAWN` of a text's windows, evenly from its start to its end."""
-    if len(parts) <= DRAWN:
-        return parts
-    return [parts[i] for i in np.linspace(0, len(parts) - 1, DRAWN).astype(int)]
-
-
 def lowered(text: str | None) -> bytes:
     return spaced((text or "").encode().lower())
 
@@ -179,7 +171,7 @@ def learn(texts: list[tuple[bytes, int]]) -> Model | None:
     if not toxic or not ordinary:
         return None
     samples = marked_runs(toxic, ordinary)
-    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in drawn(windows(t))])
+    base = dictionary(ORDINARY_SIZE, [w for t in ordinary for w in windows(t)])
     # With the ordinary content behind its own, the toxic dictionary differs only by what toxic text adds.
     return Model(dictionary(TOXIC_SIZE, samples) + base, base)
 

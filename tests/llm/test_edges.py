@@ -576,7 +576,9 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert same.toxic == model.toxic and same.chance == model.chance and np.allclose(same.weights, model.weights)
 
 
-def test_windows_are_drawn_from_all_over():
-    parts = [str(i).encode() for i in range(1000)]
-    own = toxicity.drawn(parts)
-    assert len(own) == toxicity.DRAWN and own[0] == b"0" and own[-1] == b"999" and toxicity.drawn(parts[:64]) == parts[:64]
+def test_dictionaries_learn_from_every_window(monkeypatch):
+    trained = {}
+    monkeypatch.setattr(toxicity, "dictionary", lambda size, samples: trained.setdefault(size, samples) and b"")
+    texts = [(toxicity.lowered(prose(i, n)), int(i % 5 == 0)) for i, n in enumerate([20, 5000, 3, 700, 900, 60_000])]
+    toxicity.learn(texts)
+    assert trained[toxicity.ORDINARY_SIZE] == [w for t, toxic in texts if not toxic for w in toxicity.windows(t)]
