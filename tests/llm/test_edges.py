@@ -578,7 +578,7 @@ def test_toxicity_learns_from_whole_texts(spark):
 
 def test_dictionaries_learn_from_every_window(monkeypatch):
     trained = {}
-    monkeypatch.setattr(toxicity, "dictionary", lambda size, samples: trained.setdefault(size, samples) and b"")
+    monkeypatch.setattr(toxicity, "dictionary", lambda size, samples: trained.update({size: samples}) or b"")
     texts = [(toxicity.lowered(prose(i, n)), int(i % 5 == 0)) for i, n in enumerate([20, 5000, 3, 700, 900, 60_000])]
     toxicity.learn(texts)
     assert trained[toxicity.ORDINARY_SIZE] == [w for t, toxic in texts if not toxic for w in toxicity.windows(t)]
