@@ -21,7 +21,7 @@ from martlake.operators.keys import assign_keys, next_key
 from martlake.plans import functions, jobs, maintained, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
 from martlake.session import configure, scratch_path
-from martlake.sources import extract, landing, tables
+from martlake.sources import crawl, extract, landing, tables
 from martlake.streaming import intake
 
 SHAPES = {
@@ -921,6 +921,33 @@ def weather_registered(b: Bridge) -> DataFrame:
     return b.spark.read.parquet(f"{base}/found")
 
 
+@query(
+    """SELECT location, year, month, count(*) AS days, CAST(sum("uvIndex") AS BIGINT) AS uv,
+              max(CASE WHEN location = 'click' THEN CAST("maxtempF" AS DOUBLE) - CAST("mintempF" AS DOUBLE) END) AS widest
+       FROM clean GROUP BY ALL""",
+    "clean",
+)
+def weather_crawled(b: Bridge) -> DataFrame:
+    """A table that is crawled twice: one location comes later, with a wider type and a column of its own."""
+    base, name = scratch_path(b.spark, "crawled"), f"crawled_{uuid.uuid4().hex}"
+    clean = weather.clean_days(b.weather_days()).withColumns(
+        {"year": F.date_format("date", "yyyy"), "month": F.date_format("date", "MM")}
+    ).select(*landing.CLEAN_PARTITIONS, "uvIndex", "maxtempF", "mintempF", "date")
+    late = F.col("location") == "click"
+    landing.write_clean(clean.filter(~late), base, "append")
+    crawl.crawl(b.spark, name, base, landing.CLEAN_PARTITIONS)
+    spread = F.col("maxtempF").cast("double") - F.col("mintempF").cast("double")
+    wider = clean.filter(late).withColumns({"uvIndex": F.col("uvIndex").cast("long"), "spread": spread})
+    landing.write_clean(wider, base, "append")
+    table = crawl.crawl(b.spark, name, base, landing.CLEAN_PARTITIONS)
+    found = table.groupBy("location", "year", "month").agg(
+        F.count("*").alias("days"), F.sum("uvIndex").alias("uv"), F.max("spread").alias("widest")
+    )
+    found.write.parquet(f"{base}_found")
+    b.spark.sql(f"DROP TABLE {name}")
+    return b.spark.read.parquet(f"{base}_found")
+
+
 @query(
     """SELECT date, "mintempF", "avgtempF", "maxtempF", "avgHumidity", "avgPressure", "totalPrecipMM"
        FROM clean ORDER BY date, location LIMIT 5""",
