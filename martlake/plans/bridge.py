@@ -77,8 +77,12 @@ class Bridge:
         )
 
     def inventory(self) -> DataFrame:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
-        return self.source("part").select("p_partkey", copies.alias("_copy")).select(
+        """Every part once for each copy.
+
+        A join and not an exploded array: Spark counts an exploded row as one, and would broadcast items of any number.
+        """
+        copies = self.spark.range(COPIES).withColumnRenamed("id", "_copy")
+        return self.source("part").select("p_partkey").crossJoin(copies).select(
             (F.col("p_partkey") * COPIES + F.col("_copy")).alias("inventory_id"),
             F.col("p_partkey").alias("film_id"),
             ((F.col("p_partkey") + F.col("_copy")) % STORES).cast("int").alias("store_id"),

@@ -15,7 +15,7 @@ from martlake.operators.quality import check_length, check_null, check_unique
 from martlake.operators.upsert import delete_insert, insert_absent, upsert_update
 from martlake.operators.weather import clean_days, latest_per_day, normalise_days
 from martlake.plans import snapshots, star
-from martlake.session import build_session
+from martlake.session import TABLES, build_session, configure
 from martlake.sources.extract import export_extract, read_extract
 from martlake.sources.landing import accepted, read_landing, rejected, write_clean
 from martlake.sources.publish import publish, published_folders, read_folders
@@ -201,7 +201,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--rejects", help="folder for documents without a day; without it they stop the job")
     args = parser.parse_args(argv)
 
-    spark = build_session(f"martlake-{args.job}")
+    spark = configure(build_session(f"martlake-{args.job}"), TABLES)
     if args.job in ("elt", "export"):
         names = ("customer", "film", "staff", "payment", "rental", "inventory")
         oltp = {name: spark.read.parquet(f"{args.tables}/{name}") for name in names}

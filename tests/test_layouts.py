@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from martlake import schemas
 from martlake.plans import maintained, star
+from martlake.plans.bridge import COPIES, Bridge
+from martlake.session import TABLES, configure
 from martlake.sources import tables
 
 KEYS = schemas.STAR_KEYS["sales_facts"]
@@ -113,3 +115,20 @@ def test_month_that_is_empty_counts_no_longer(spark, tmp_path, dims):
     maintained.refresh(spark, name, str(tmp_path / "less"), dims, base, ["202002"])
     maintained.refresh(spark, name, str(tmp_path / "less"), dims, str(tmp_path / "whole"))
     assert rows(maintained.read_report(spark, name, base)) == rows(maintained.read_report(spark, name, str(tmp_path / "whole")))
+
+
+def test_items_are_not_counted_as_parts(spark, tmp_path):
+    """The copies of many parts are too large for a broadcast, and the plan knows it."""
+    n = 60_000
+    part = spark.range(n).select(F.col("id").alias("p_partkey"), F.concat(F.lit("part "), "id").alias("p_name"))
+    missing = [f for f in schemas.GIVEN["part"].fields if f.name not in part.columns]
+    part.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}).write.parquet(f"{tmp_path}/part.parquet")
+    items = Bridge(configure(spark, TABLES), str(tmp_path)).inventory()
+    try:
+        assert items.count() == n * COPIES
+        assert items.agg(F.countDistinct("inventory_id")).first()[0] == n * COPIES
+        known = int(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        assert known > 10 * 1024 * 1024
+    finally:
+        for key in TABLES:
+            spark.conf.unset(key)
