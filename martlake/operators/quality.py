@@ -141,16 +141,21 @@ def check_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _text_key(columns: list[str]) -> Column:
-    """Several key columns as one text; NULL if any is, since such keys neither collide nor point anywhere."""
+    """Key columns as one text; NULL if any is, since such keys neither collide nor point anywhere."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
     return F.when(~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]), F.to_json(F.struct(*columns)))
 
 
-def _marks(name: str, df: DataFrame, tables: dict[str, DataFrame]) -> tuple[list[Column], list[str]]:
-    """What each row of a table says on the declared rules, and the rules that lack a column or table."""
+def _marks(name: str, df: DataFrame, tables: dict[str, DataFrame], rules: dict[str, int]) -> tuple[list[Column], list[str]]:
+    """What each row of a table says on the declared rules, and the rules that lack a column or table.
+
+    Marks hold a rule's number in ``rules``, which new ones are added to.
+    """
     marks, absent = [], []
 
     def mark(rule: str, key: Column, child: int, parent: int) -> None:
-        marks.append(F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")))
+        marks.append(F.struct(F.lit(rules.setdefault(rule, len(rules))).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")))
 
     def lacking(rule: str, wanted: dict[str, list[str]]) -> bool:
         missing = any(t not in tables or set(columns) - set(tables[t].columns) for t, columns in wanted.items())
@@ -192,16 +197,18 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
     partial sums, so a hot key travels as one row per task: a unique key is violated where it is counted twice, a
     foreign key where no parent has marked it, any other rule by each mark.
     """
-    parts, absent = [], []
+    parts, absent, rules = [], [], {}
     for name, df in tables.items():
-        marks, lacking = _marks(name, df, tables)
+        marks, lacking = _marks(name, df, tables, rules)
         absent += lacking
         if marks:
             found = df.select(F.explode(F.array(*marks)).alias("m")).select("m.*")
             parts.append(found.filter(F.col("key").isNotNull()))
-    counted = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
-        F.sum("child").alias("child"), F.max("parent").alias("parent")
-    )
+    marked = reduce(DataFrame.unionByName, parts)
+    # Marks are many and carry only the number of their rule, which gets its name back once they are counted.
+    numbers = F.create_map(*[x for rule, k in rules.items() for x in (F.lit(k), F.lit(rule))])
+    counted = marked.groupBy("rule", "key").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    counted = counted.withColumn("rule", numbers[F.col("rule")])
     broken = (
         F.when(F.col("rule").contains(".unique("), (F.col("child") > 1).cast("long"))
         .when(F.col("rule").contains(".fk("), F.when(F.col("parent") == 0, F.col("child")).otherwise(0))

@@ -80,8 +80,9 @@ class Bridge:
         """Every part once for each copy.
 
         A join and not an exploded array: Spark counts an exploded row as one, and would broadcast items of any number.
+        Each copy is a partition, as the keys of a few megabytes of parts make more items than one task should hold.
         """
-        copies = self.spark.range(COPIES).withColumnRenamed("id", "_copy")
+        copies = self.spark.range(0, COPIES, 1, COPIES).withColumnRenamed("id", "_copy").hint("shuffle_replicate_nl")
         return self.source("part").select("p_partkey").crossJoin(copies).select(
             (F.col("p_partkey") * COPIES + F.col("_copy")).alias("inventory_id"),
             F.col("p_partkey").alias("film_id"),

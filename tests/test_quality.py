@@ -119,3 +119,14 @@ def test_broken_rows_are_named(spark):
     broken = {name for name in ("film.unique(film_id)", "film.rating", "film.release_year", "inventory.fk(store_id)", "film.not_null")
               if not quality.check_tables(tables)[name].isEmpty()}
     assert broken == {"film.unique(film_id)", "film.rating", "film.release_year", "inventory.fk(store_id)"}
+
+
+def test_audit_marks_are_narrow(spark):
+    """Marks are as many as keys in all tables: a rule is a number and a key of one column its plain text."""
+    store = spark.createDataFrame([(1,), (1,), (None,)], "store_id INT")
+    marks, _ = quality._marks("store", store, {"store": store}, rules := {})
+    found = store.select(F.explode(F.array(*marks)).alias("m")).select("m.*").filter("key IS NOT NULL")
+    unique = rules["store.unique(store_id)"]
+    assert rows(found.filter(F.col("rule") == unique).select("key")) == [("1",), ("1",)]
+    counted = {r.rule: r.violations for r in quality.audit({"store": store}).collect()}
+    assert counted["store.unique(store_id)"] == 1 and counted["store.not_null(store_id)"] == 1
