@@ -20,7 +20,7 @@ from martlake.operators import quality, rentals, textindex, upsert, weather
 from martlake.operators.keys import assign_keys, next_key
 from martlake.plans import functions, jobs, maintained, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
-from martlake.session import RUNTIME, TABLES, configure, scratch_path
+from martlake.session import RUNTIME, TABLES, configure, scratch_path, size_shuffles
 from martlake.sources import crawl, extract, landing, tables
 from martlake.streaming import intake
 
@@ -134,7 +134,7 @@ def query(body: str | None, *uses: str):
 
     def register(build: Callable[[Bridge], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Bridge(configure(spark, {**RUNTIME, **TABLES}), folder))
+            return build(Bridge(size_shuffles(configure(spark, {**RUNTIME, **TABLES}), folder), folder))
 
         QUERIES[build.__name__] = run
         if body is not None:

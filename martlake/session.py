@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from martlake.sources.files import delete
+from martlake.sources.files import delete, size
 
 # Runtime settings the pipelines count on. Calendar parts follow the session zone, so it is
 # pinned; AQE splits hot join keys even where that costs one more exchange.
@@ -21,10 +21,15 @@ RUNTIME = {
 
 
 # Settings of the table queries. Parquet holds narrow rows in a fraction of the bytes they take in a join, so sizes taken from
-# files are raised before they decide on a broadcast.
+# files are raised before they decide on a broadcast. For the same reason tasks get less of a file or a shuffle than usual: what
+# one holds in memory then stays the same however large the tables are.
 TABLES = {
     "spark.sql.sources.fileCompressionFactor": "16",
+    "spark.sql.files.maxPartitionBytes": "16MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
 }
+# A shuffle gets a partition for each so many bytes of files; AQE puts together those that stay small.
+FILE_BYTES = 4 * 1024 * 1024
 
 
 def configure(spark: SparkSession, settings: dict[str, str] = RUNTIME) -> SparkSession:
@@ -34,6 +39,12 @@ def configure(spark: SparkSession, settings: dict[str, str] = RUNTIME) -> SparkS
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
+    """Let shuffles start with a number of partitions that grows with the files below a folder."""
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size(spark, folder) // FILE_BYTES)
+    return configure(spark, {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted)})
+
+
 def build_session(app: str = "martlake", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:

@@ -32,6 +32,12 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, target = _open(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def leaf_folders(spark: SparkSession, path: str) -> list[str]:
     """Partition folders of a written table, down to those that hold files; one entry per partition."""
     files, target = _open(spark, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martlake import schemas
 from martlake.plans import maintained, star
 from martlake.plans.bridge import COPIES, Bridge
-from martlake.session import TABLES, configure
+from martlake.session import FILE_BYTES, TABLES, configure, size_shuffles
 from martlake.sources import tables
 
 KEYS = schemas.STAR_KEYS["sales_facts"]
@@ -127,8 +127,30 @@ def test_items_are_not_counted_as_parts(spark, tmp_path):
     try:
         assert items.count() == n * COPIES
         assert items.agg(F.countDistinct("inventory_id")).first()[0] == n * COPIES
-        known = int(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        known = int(str(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         assert known > 10 * 1024 * 1024
     finally:
         for key in TABLES:
             spark.conf.unset(key)
+
+
+def test_items_of_one_file_are_dealt_to_many_tasks(spark, tmp_path):
+    one = spark.range(50).coalesce(1).select(F.col("id").alias("p_partkey"))
+    missing = [f for f in schemas.GIVEN["part"].fields if f.name != "p_partkey"]
+    one.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}).write.parquet(f"{tmp_path}/part.parquet")
+    items = Bridge(spark, str(tmp_path)).inventory()
+    held = items.groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == COPIES and all(r["count"] == 50 for r in held)
+
+
+def test_shuffles_grow_with_the_files(spark, tmp_path):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    with open(tmp_path / "big.bin", "wb") as out:
+        out.truncate(100 * FILE_BYTES)
+    try:
+        size_shuffles(spark, str(tmp_path))
+        assert int(spark.conf.get(name)) == 100
+        assert spark.range(1000).groupBy(F.col("id") % 7).count().count() == 7
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
