@@ -18,9 +18,10 @@ from martlake import schemas
 from martlake.functions.calendar import date_id, month_bounds
 from martlake.operators import quality, rentals, textindex, upsert, weather
 from martlake.operators.keys import assign_keys, next_key
+from martlake.operators.lookup import anti_join, semi_join
 from martlake.plans import functions, jobs, maintained, reports, snapshots, star
 from martlake.plans.bridge import DATE_START, Bridge
-from martlake.session import RUNTIME, TABLES, configure, scratch_path, size_shuffles
+from martlake.session import RUNTIME, TABLES, configure, scratch_path, size_shuffles, stored
 from martlake.sources import crawl, extract, landing, tables
 from martlake.streaming import intake
 
@@ -624,16 +625,17 @@ def dim_insert_absent(b: Bridge) -> DataFrame:
     "facts",
 )
 def fact_delete_insert(b: Bridge) -> DataFrame:
-    """Facts of restricted films come again, one dearer and with their repeats."""
-    rated = b.inventory().join(b.film().filter("rating = 'R'").select("film_id"), "film_id", "left_semi")
-    stage = (
-        b.payment()
-        .join(b.rental_items().select("rental_id", "inventory_id"), "rental_id")
-        .join(rated.select("inventory_id", "film_id"), "inventory_id")
-        .select("film_id", "customer_id", "staff_id", date_id(F.col("payment_date")).alias("date_id"),
-                (F.col("amount") + 1).cast("decimal(8,2)").alias("amount"))
-    )
-    return upsert.delete_insert(_facts(b), stage, schemas.STAR_KEYS["sales_facts"])
+    """Facts of restricted films come again, one dearer and with their repeats.
+
+    Facts and stage are made from the same sales lines, which are joined once.
+    """
+    rated = b.film().filter("rating = 'R'").select("film_id")
+    again = semi_join(b.inventory(), rated, ["film_id"]).withColumn("again", F.lit(True))
+    items = again.unionByName(anti_join(b.inventory(), rated, ["film_id"]).withColumn("again", F.lit(False)))
+    lines = star.stored_sales_lines(b.payment(), b.rental_items(), items, "again")
+    stage = lines.filter("again").withColumn("amount", (F.col("amount") + 1).cast("decimal(8,2)"))
+    facts = stored(star.distinct_facts(lines), scratch_path(b.spark, "facts"))
+    return upsert.delete_insert(facts, stage, schemas.STAR_KEYS["sales_facts"])
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from martlake.sources.files import delete, size
 
@@ -30,6 +30,8 @@ TABLES = {
 }
 # A shuffle gets a partition for each so many bytes of files; AQE puts together those that stay small.
 FILE_BYTES = 4 * 1024 * 1024
+# Whether a job's shuffle files go when it has ended, and not only when the driver has collected its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession, settings: dict[str, str] = RUNTIME) -> SparkSession:
@@ -74,6 +76,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The same rows, written to a fresh path and read again.
+
+    The shuffle files of the job are removed as soon as it has ended, so a query in several such steps takes the disk of
+    its largest one, and of the copies it reads.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove what this application has put below ``scratch_path``.
 

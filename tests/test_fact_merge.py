@@ -1,0 +1,106 @@
+"""Facts merged with lines that come again: the rows by SQL on odd rows, and what the steps leave on disk."""
+
+import datetime
+import re
+import time
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from martlake import schemas
+from martlake.session import SHUFFLE_CLEANUP, scratch_path, stored
+
+NAME = "fact_delete_insert"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """Lines that come twice, share a rental over two orders, miss keys or know no part; an order that comes twice."""
+
+    def day(i):
+        return datetime.datetime(1996, 1, 1 + i % 5)
+
+    lines = [(i % 40, i % 23, i % 6, 1 + i % 12, 100.0 + i % 3, "F", day(i)) for i in range(400)]
+    lines += lines[:60] + [(1, None, 1, 1, 5.0, "F", day(1)), (1, 2, None, 2, 5.0, "F", day(1)), (None, 2, 1, 3, 5.0, "F", day(1))]
+    lines += [(2, 3, 1, None, 5.0, "F", day(1)), (2, 3, 1, 4, None, "F", day(1)), (2, 3, 1, 5, 5.0, "F", None), (3, 3, -7, 6, 5.0, None, day(1))]
+    orders = [(i, None if i % 7 == 0 else i % 4, day(i)) for i in range(40)] + [(5, 2, day(5)), (None, 1, day(1))]
+    parts = [(i, i % 12) for i in range(20)] + [(None, 3), (20, None)]
+    shapes = {
+        "lineitem": (lines, "l_orderkey l_partkey l_suppkey l_linenumber l_extendedprice l_linestatus l_shipdate"),
+        "orders": (orders, "o_orderkey o_custkey o_orderdate"),
+        "part": (parts, "p_partkey p_size"),
+    }
+    for name, (rows, columns) in shapes.items():
+        given = [dict(zip(columns.split(), row, strict=True)) for row in rows]
+        full = [[row.get(f.name) for f in schemas.GIVEN[name]] for row in given]
+        spark.createDataFrame(full, schemas.GIVEN[name]).coalesce(2).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As with tables that are too large for it."""
+    changed = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for key in changed:
+        spark.conf.set(key, "-1")
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def shuffles(spark):
+    """Numbers of the shuffles that have files on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {int(n) for n in re.findall(r"/shuffle_(\d+)_", files.mkString("\n"))}
+
+
+def left_by(spark, run):
+    """How many shuffles are on disk that were not there before; those that are to go have a moment for it."""
+    before = shuffles(spark)
+    result = run()
+    time.sleep(3)
+    return len(shuffles(spark) - before), result
+
+
+def by_sql(folder):
+    con = duckdb.connect()
+    for name in ("lineitem", "orders", "part"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    result = con.execute(entry.oracle_sql()[NAME])
+    return [c[0] for c in result.description], result.fetchall()
+
+
+def test_rows_of_odd_tables(spark, folder):
+    columns, expected = by_sql(folder)
+    found = entry.queries()[NAME](spark, folder).select(*columns)
+    assert len(expected) > 150
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_disk_holds_the_shuffles_of_the_last_step(spark, folder, no_broadcast, tmp_path):
+    out = str(tmp_path / "out")
+    left, _ = left_by(spark, lambda: entry.queries()[NAME](spark, folder).write.parquet(out))
+    assert 0 < left <= 4
+    assert spark.read.parquet(out).count() == len(by_sql(folder)[1])
+
+
+def test_lines_are_joined_once(spark, folder):
+    plan = entry.queries()[NAME](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan
+
+
+def test_stored_leaves_no_shuffles_and_no_setting(spark, no_broadcast):
+    df = spark.range(100).join(spark.range(50, 150).repartition(4), "id")
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    left, kept = left_by(spark, lambda: stored(df, scratch_path(spark, "some")))
+    assert left == 0 and kept.dtypes == df.dtypes and kept.count() == 50
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def test_setting_comes_back_after_a_failure(spark):
+    path = scratch_path(spark, "bad")
+    with pytest.raises(Exception, match="no such row"):
+        stored(spark.range(3).selectExpr("if(id = 2, raise_error('no such row'), id) AS v"), path)
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
